@@ -1,0 +1,204 @@
+"""Operator chains over a set of logical inputs.
+
+``Pipeline`` memoises each intermediate DataFrame (a lazy plan, not data), so
+queries that share a stage share one logical sub-plan; Spark's exchange reuse
+then avoids recomputing shared shuffles inside one query.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame
+
+from restock.operators import compliance as C
+from restock.operators import decisions as D
+from restock.operators import forecast as FC
+from restock.operators import inventory as I
+from restock.operators import kpi as K
+from restock.operators import onorder as OO
+from restock.operators import projection as PJ
+from restock.operators import proposals as PR
+from restock.operators import snapshots as S
+from restock.params import Params
+
+
+class Pipeline:
+    """``src`` provides the logical inputs as attributes (see
+    ``restock.sources.adapters.TestTables`` for names and columns)."""
+
+    def __init__(self, src, params: Params | None = None):
+        self.src = src
+        self.p = params or getattr(src, "p", None) or Params()
+
+    # -- shared inputs (one lazy definition each) -----------------------------
+    @cached_property
+    def region_map(self) -> DataFrame:
+        return self.src.region_map
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.src.products
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return self.src.locations
+
+    @cached_property
+    def vendors(self) -> DataFrame:
+        return self.src.vendors
+
+    @cached_property
+    def excess_base(self) -> DataFrame:
+        return self.src.excess_base
+
+    @cached_property
+    def rec_file(self) -> DataFrame:
+        return self.src.recommendation_file
+
+    # -- recommendation chain ----------------------------------------------------
+    @cached_property
+    def new_items(self):
+        return I.new_items(self.src.item_attr, self.p)
+
+    @cached_property
+    def eligible_fcs(self):
+        return I.eligible_fcs(self.locations, self.p)
+
+    @cached_property
+    def inventory_base(self):
+        return I.inventory_base(self.src.inventory_snapshot, self.products, self.locations,
+                                self.region_map, self.p)
+
+    @cached_property
+    def item_attributes(self):
+        return I.item_attributes(self.inventory_base, self.products, self.new_items)
+
+    @cached_property
+    def region_on_hand(self):
+        return I.region_on_hand(self.inventory_base)
+
+    @cached_property
+    def network_on_hand(self):
+        return I.network_on_hand(self.region_on_hand)
+
+    @cached_property
+    def weekly_forecast(self):
+        return FC.weekly_forecast(self.src.forecast_current, self.products, self.locations,
+                                  self.region_map, self.p)
+
+    @cached_property
+    def forecast_windows(self):
+        return FC.forecast_windows(self.weekly_forecast, self.p)
+
+    @cached_property
+    def network_weekly_forecast(self):
+        return FC.network_weekly_forecast(self.weekly_forecast)
+
+    @cached_property
+    def weekly_on_order(self):
+        return OO.weekly_on_order(self.src.onorder_detail, self.products, self.src.procurement_document,
+                                  self.locations, self.region_map, self.p)
+
+    @cached_property
+    def region_on_order(self):
+        return OO.region_on_order(self.weekly_on_order)
+
+    @cached_property
+    def network_weekly_on_order(self):
+        return OO.network_weekly_on_order(self.weekly_on_order)
+
+    @cached_property
+    def network_on_order(self):
+        return OO.network_on_order(self.region_on_order)
+
+    @cached_property
+    def regional_base(self):
+        return PJ.regional_base(self.region_on_hand, self.network_on_hand, self.excess_base,
+                                self.network_on_order, self.forecast_windows, self.weekly_on_order, self.p)
+
+    def inventory_projection(self, mode: str | None = None):
+        return PJ.inventory_projection(self.regional_base, mode or self.p.projection_mode)
+
+    @cached_property
+    def projected_state(self):
+        return PJ.projected_state(self.regional_base, self.item_attributes, self.p.projection_mode)
+
+    @cached_property
+    def network_projection(self):
+        return PJ.network_projection(self.regional_base, self.network_weekly_forecast,
+                                     self.network_weekly_on_order, self.p.projection_mode)
+
+    def proposal_base(self, variant: str):
+        return PR.proposal_base(self.src.item_location, self.region_map, self.products,
+                                self.src.proposals, self.vendors, self.p, variant)
+
+    def fc_need(self, variant: str):
+        return PR.fc_need(self.proposal_base(variant), self.src.stock_tunnel, variant)
+
+    def need_rank(self, variant: str):
+        return PR.need_rank(self.fc_need(variant), variant)
+
+    def region_need(self, variant: str):
+        return PR.region_need(self.fc_need(variant), variant)
+
+    def full_need(self, variant: str):
+        return D.full_need(self.fc_need(variant), self.excess_base, self.projected_state, self.p, variant)
+
+    def recommend(self, variant: str):
+        return D.recommend(self.full_need(variant), self.vendors, self.item_attributes, self.p, variant)
+
+    def network_measures(self):
+        return D.network_measures(self.full_need("fillin"), PR.network_need(self.region_need("fillin")),
+                                  self.network_projection)
+
+    # -- compliance -----------------------------------------------------------------
+    @cached_property
+    def placed_orders(self):
+        return C.placed_orders(self.src.procurement_product, self.products, self.vendors,
+                               self.locations, self.p)
+
+    @cached_property
+    def placed_orders_rollup(self):
+        return C.placed_orders_rollup(self.placed_orders)
+
+    @cached_property
+    def network_demand(self):
+        return C.network_demand(self.placed_orders_rollup, self.src.item_location, self.locations, self.p)
+
+    @cached_property
+    def compliance(self):
+        return C.compliance(self.placed_orders_rollup, self.products, self.vendors, self.network_demand,
+                            self.src.item_uom, self.excess_base, self.rec_file, self.p)
+
+    @cached_property
+    def trailing_performance(self):
+        return C.trailing_performance(self.src.merch_performance, self.compliance, self.p)
+
+    @cached_property
+    def compliance_report(self):
+        return C.compliance_report(self.compliance, self.trailing_performance)
+
+    # -- KPI ---------------------------------------------------------------------------
+    @cached_property
+    def instock_base(self):
+        return K.instock_base(self.src.inventory_snapshot, self.region_map, self.src.product_lifecycle,
+                              self.rec_file, self.p)
+
+    @cached_property
+    def split_orders(self):
+        return K.split_orders(self.src.order_line, self.src.orders, self.locations, self.products, self.p)
+
+    @cached_property
+    def split_order_items(self):
+        return K.split_order_items(self.split_orders, self.src.order_line, self.products)
+
+    @cached_property
+    def order_zone(self):
+        return K.order_zone(self.src.order_line, self.src.orders, self.src.shipment_order_line,
+                            self.locations, self.products, self.rec_file, self.p)
+
+    # -- snapshot table ----------------------------------------------------------------
+    @cached_property
+    def outl_bad_dates(self):
+        return S.outl_bad_dates(self.excess_base)
