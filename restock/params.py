@@ -44,6 +44,9 @@ class Params:
     excluded_order_status: tuple[str, ...] = ("F", "X")
     # snapshot-table repair: None = detect bad days (safety stock summed to zero)
     repair_dates: tuple[dt.date, ...] | None = None
+    # cut lineage after the long sub-plans (regional projection, stock match)
+    # with a reliable checkpoint into spark.checkpoint.dir (shared storage)
+    checkpoint_stages: bool = False
     extra: dict = field(default_factory=dict)
 
     @property

@@ -25,11 +25,26 @@ from restock.params import Params
 
 class Pipeline:
     """``src`` provides the logical inputs as attributes (see
-    ``restock.sources.adapters.TestTables`` for names and columns)."""
+    ``restock.sources.adapters.DriverTables`` for names and columns)."""
 
     def __init__(self, src, params: Params | None = None):
         self.src = src
         self.p = params or getattr(src, "p", None) or Params()
+        self._memo: dict = {}
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        """Reliable checkpoint (written to spark.checkpoint.dir) when enabled:
+        a lost executor then recomputes from the checkpoint, not the whole DAG."""
+        if not self.p.checkpoint_stages:
+            return df
+        from restock.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+
+    def _once(self, key, build):
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     # -- shared inputs (one lazy definition each) -----------------------------
     @cached_property
@@ -122,7 +137,7 @@ class Pipeline:
 
     @cached_property
     def projected_state(self):
-        return PJ.projected_state(self.regional_base, self.item_attributes, self.p.projection_mode)
+        return self._cut(PJ.projected_state(self.regional_base, self.item_attributes, self.p.projection_mode))
 
     @cached_property
     def network_projection(self):
@@ -134,7 +149,8 @@ class Pipeline:
                                 self.src.proposals, self.vendors, self.p, variant)
 
     def fc_need(self, variant: str):
-        return PR.fc_need(self.proposal_base(variant), self.src.stock_tunnel, variant)
+        return self._once(("fc_need", variant), lambda: self._cut(
+            PR.fc_need(self.proposal_base(variant), self.src.stock_tunnel, variant)))
 
     def need_rank(self, variant: str):
         return PR.need_rank(self.fc_need(variant), variant)

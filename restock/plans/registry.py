@@ -14,14 +14,14 @@ from restock.operators import snapshots as S
 from restock.operators import compliance as C
 from restock.params import Params
 from restock.plans.pipeline import Pipeline
-from restock.sources.adapters import TestTables
+from restock.sources.adapters import DriverTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _pl(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Pipeline:
     p = params or Params()
-    return Pipeline(TestTables(spark, sf_dir, p), p)
+    return Pipeline(DriverTables(spark, sf_dir, p), p)
 
 
 def _q(f: Callable[[Pipeline], DataFrame]) -> QueryFn:

@@ -38,7 +38,7 @@ def _d(x: dt.date) -> Column:
     return F.lit(x)
 
 
-class TestTables:
+class DriverTables:
     """Adapter views over ``<sf_dir>/<table>.parquet``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):

@@ -1,0 +1,3 @@
+"""Structured Streaming entry points (daily snapshot-table monitoring)."""
+
+from restock.streaming.monitor import bad_day_alerts  # noqa: F401

@@ -1,0 +1,25 @@
+"""Streaming snapshot monitor: a zero-safety-stock day is reported once the
+next day's load has arrived."""
+
+import datetime as dt
+
+from pyspark.sql import types as T
+
+from restock.streaming.monitor import start_alerts
+
+SCHEMA = T.StructType([T.StructField("snapshot_date", T.DateType()),
+                       T.StructField("product_part_number", T.StringType()),
+                       T.StructField("ss", T.DoubleType())])
+
+
+def test_bad_day_alert(spark, tmp_path):
+    src = str(tmp_path / "eb")
+    d = [dt.date(2022, 5, k) for k in (27, 28, 29, 30)]
+    rows = [(d[0], "a", 3.0), (d[0], "b", 1.0), (d[1], "a", 0.0), (d[1], "b", 0.0),
+            (d[2], "a", 2.0), (d[3], "a", 4.0)]
+    spark.createDataFrame(rows, SCHEMA).write.partitionBy("snapshot_date").parquet(src)
+    # the file source reads the partition column from the folder names
+    q = start_alerts(spark, src, SCHEMA, str(tmp_path / "alerts"), str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    got = [(r.snapshot_date, r.rows) for r in spark.read.parquet(str(tmp_path / "alerts")).collect()]
+    assert got == [(d[1], 2)]
