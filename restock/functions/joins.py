@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 # AQE runtime broadcast if the materialised side turns out small).
 DIM_ROW_BOUND = 10_000
 
-_checked: dict[int, bool] = {}
+_checked: dict[tuple, bool] = {}
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_ROW_BOUND) -> DataFrame:
-    key = id(df)
+    """Broadcast ``df`` if it has at most ``max_rows`` rows. The check is one
+    small job (a limited count) per distinct plan and session."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
     ok = _checked.get(key)
     if ok is None:
         ok = df.limit(max_rows + 1).count() <= max_rows

@@ -45,13 +45,18 @@ class DriverTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.p = params or Params()
+        self._raw: dict[str, DataFrame] = {}
 
     # -- raw scans ---------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One DataFrame per table (the file listing and schema are resolved
+        once); every view below is a lazy plan, memoised per instance."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     # -- shared line view --------------------------------------------------
-    @property
+    @cached_property
     def lines(self) -> DataFrame:
         li = self.raw("lineitem")
         su = self.raw("supplier").select("s_suppkey", "s_nationkey")
@@ -68,7 +73,7 @@ class DriverTables:
         )
 
     # -- dimensions ----------------------------------------------------------
-    @property
+    @cached_property
     def region_map(self) -> DataFrame:
         n, r = self.raw("nation"), self.raw("region")
         return (
@@ -78,7 +83,7 @@ class DriverTables:
                     F.col("r_name").alias("region"))
         )
 
-    @property
+    @cached_property
     def locations(self) -> DataFrame:
         k = F.col("n_nationkey")
         return self.raw("nation").select(
@@ -105,7 +110,7 @@ class DriverTables:
         m = size % 4
         return (F.when(m == 0, "A").when(m == 1, "B").when(m == 2, "C").otherwise("D"))
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         p = self.raw("part")
         s = F.col("p_size")
@@ -121,7 +126,7 @@ class DriverTables:
             self._private_label(F.col("p_brand"), s).alias("private_label_flag"),
         )
 
-    @property
+    @cached_property
     def item_attr(self) -> DataFrame:
         k = F.col("p_partkey")
         return self.raw("part").where(k % 5 == 0).select(
@@ -130,7 +135,7 @@ class DriverTables:
             F.when(k % 20 == 0, F.lit(self.p.new_item_attr)).otherwise(F.lit("CORE")).alias("attr_cd"),
         )
 
-    @property
+    @cached_property
     def vendors(self) -> DataFrame:
         k = F.col("s_suppkey")
         return self.raw("supplier").select(
@@ -148,7 +153,7 @@ class DriverTables:
     def _signed_qty() -> Column:
         return F.when(F.col("l_linestatus") == "F", F.col("qty")).otherwise(-F.col("qty"))
 
-    @property
+    @cached_property
     def inventory_snapshot(self) -> DataFrame:
         """item x FC x day. Day as_of holds the stock built by all earlier lines;
         the 90 days before it hold that day's net movement (the KPI history)."""
@@ -173,7 +178,7 @@ class DriverTables:
             "snapshot_dt",
         )
 
-    @property
+    @cached_property
     def product_lifecycle(self) -> DataFrame:
         a = self.p.as_of
         ln = (self.lines.where(F.col("d").between(_d(a - dt.timedelta(days=90)), _d(a - dt.timedelta(days=1))))
@@ -189,7 +194,7 @@ class DriverTables:
             .otherwise(F.lit(False)).alias("dropship_flag"),
         )
 
-    @property
+    @cached_property
     def forecast_current(self) -> DataFrame:
         return (
             self.lines.where((F.col("d") >= _d(self.p.as_of)) & (F.col("l_linestatus") == "F"))
@@ -198,7 +203,8 @@ class DriverTables:
                  F.sum("l_quantity").alias("statistical_quantity"))
         )
 
-    def _onorder_lines(self) -> DataFrame:
+    @cached_property
+    def _onorder_df(self) -> DataFrame:
         rf = F.col("l_returnflag")
         marker = F.when(rf == "R", "RS").when(rf == "N", "TR").otherwise("ZZ")
         return (self.lines
@@ -206,9 +212,9 @@ class DriverTables:
                 .withColumn("lotid", F.concat_ws("-", marker, F.col("l_orderkey").cast("string"),
                                                  F.col("l_suppkey").cast("string"))))
 
-    @property
+    @cached_property
     def onorder_detail(self) -> DataFrame:
-        return self._onorder_lines().select(
+        return self._onorder_df.select(
             "item", "lotid",
             F.year("d").cast("string").alias("year"),
             F.month("d").cast("string").alias("month"),
@@ -216,16 +222,17 @@ class DriverTables:
             F.col("qty").cast("int").alias("onordqty"),
         )
 
-    @property
+    @cached_property
     def procurement_document(self) -> DataFrame:
-        return self._onorder_lines().select(
+        return self._onorder_df.select(
             F.col("lotid").alias("document_number"), "location_key").distinct()
 
-    def _item_fc(self) -> DataFrame:
+    @cached_property
+    def _item_fc_df(self) -> DataFrame:
         return self.lines.groupBy("item", "product_key", "location_key", "fc").agg(
             F.max("l_suppkey").alias("max_supp"))
 
-    @property
+    @cached_property
     def item_location(self) -> DataFrame:
         pk, lk = F.col("product_key"), F.col("location_key")
         s = pk + lk
@@ -233,14 +240,14 @@ class DriverTables:
                     .when(s % 31 == 0, F.concat(fc_code((lk + 1) % 25), F.lit("-T")))
                     .when(s % 37 == 0, F.lit(None).cast("string"))
                     .otherwise(F.concat_ws("-", F.col("max_supp").cast("string"), F.col("fc"))))
-        return self._item_fc().select(
+        return self._item_fc_df.select(
             "item", F.col("fc").alias("location"), supplier.alias("supplier"),
             (pk % 7 + 1).cast("int").alias("minresint"),
             ((pk * 7 + lk) % 200).cast("int").alias("minreslot"),
             ((pk % 50).cast("double") / 10.0).alias("avedemqty"),
         )
 
-    @property
+    @cached_property
     def proposals(self) -> DataFrame:
         """One proposal per item x FC from the lines shipping in the next 60 days.
         status X / P / null when the highest return flag is A / N / R; a few
@@ -266,12 +273,12 @@ class DriverTables:
             run.alias("create_date"),
         )
 
-    @property
+    @cached_property
     def stock_tunnel(self) -> DataFrame:
         """Planning targets per item x FC x date for every date on which the item
         has a proposal due."""
         dates = self.proposals.select("item", F.col("duedate").alias("date")).distinct()
-        ifc = self._item_fc().select("item", "product_key", "location_key", "fc")
+        ifc = self._item_fc_df.select("item", "product_key", "location_key", "fc")
         pk, lk = F.col("product_key"), F.col("location_key")
         return ifc.join(dates, "item").select(
             "item",
@@ -282,7 +289,7 @@ class DriverTables:
             ((pk * 7 + lk * 13) % 90 - 10).cast("double").alias("stkono"),
         )
 
-    @property
+    @cached_property
     def excess_base(self) -> DataFrame:
         """item x day target snapshot for as_of-3 .. as_of+1. Safety stock came in
         as zero on as_of-2 and as_of-1 (bad loads); parts with key % 100 = 1 are
@@ -326,7 +333,7 @@ class DriverTables:
         )
 
     # -- compliance inputs -----------------------------------------------------
-    @property
+    @cached_property
     def procurement_product(self) -> DataFrame:
         ln = F.col("l_linenumber")
         ok = F.col("l_orderkey")
@@ -354,7 +361,7 @@ class DriverTables:
             .otherwise(F.lit(False)).alias("ready_to_reconcile_flag"),
         )
 
-    @property
+    @cached_property
     def item_uom(self) -> DataFrame:
         p = self.raw("part")
         k, s = F.col("p_partkey"), F.col("p_size")
@@ -366,7 +373,7 @@ class DriverTables:
                                            F.lit("NO").alias("cartonization_flag"))
         return main.unionByName(other).unionByName(extra)
 
-    @property
+    @cached_property
     def merch_performance(self) -> DataFrame:
         a = self.p.as_of
         net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
@@ -380,7 +387,7 @@ class DriverTables:
                  F.sum("l_linenumber").cast("bigint").alias("distinct_pdp_views"))
         )
 
-    @property
+    @cached_property
     def recommendation_file(self) -> DataFrame:
         """The recommendation hand-off file (action, item, region, FC, supplier,
         quantity, need fraction) for lines around the run date."""
@@ -400,7 +407,7 @@ class DriverTables:
             F.round((F.col("product_key") % 10).cast("double") / 9.0, 2).alias("fc_region_need_percent"),
         )
 
-    @property
+    @cached_property
     def historical_file(self) -> DataFrame:
         r = self.recommendation_file
         return r.select(
@@ -411,7 +418,7 @@ class DriverTables:
         )
 
     # -- order KPI inputs ------------------------------------------------------
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         return self.raw("orders").select(F.col("o_orderkey").alias("order_key"),
                                          F.col("o_orderstatus").alias("order_status"))
@@ -421,14 +428,14 @@ class DriverTables:
         return F.concat_ws("-", *[F.col(c).cast("string") for c in
                                   ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
-    @property
+    @cached_property
     def order_line(self) -> DataFrame:
         return self.lines.select(
             F.col("l_orderkey").alias("order_key"), self._line_id().alias("order_line_id"),
             F.col("location_key").alias("fulfillment_center_key"), "product_key",
             F.col("l_shipdate").alias("released_dttm"))
 
-    @property
+    @cached_property
     def shipment_order_line(self) -> DataFrame:
         ln = self.lines
         o = self.raw("orders").select("o_orderkey", "o_custkey")
