@@ -141,3 +141,45 @@ def queries() -> dict[str, QueryFn]:
 
 
 FLAGSHIP = "recommend_fillin"
+
+
+# -- file hand-offs: table-derived files written as CSV and read back typed ------
+
+def _csv_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> str:
+    from restock.session import staging_path
+    path = staging_path(spark, name)
+    df.write.mode("overwrite").csv(path)
+    return path
+
+
+def _new_items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> S2: the new-item extract saved as CSV and loaded as varchar(7)."""
+    from restock.sources.csv import read_new_items
+    pl = _pl(spark, sf_dir)
+    ok, _ = read_new_items(spark, _csv_roundtrip(spark, pl.new_items, "new-items"))
+    return ok
+
+
+def _recommendations_csv(spark: SparkSession, sf_dir: str, rejects: bool = False) -> DataFrame:
+    """S3 + S12: the recommendation file as CSV, typed read, reject split."""
+    from restock.sources.csv import read_recommendations
+    pl = _pl(spark, sf_dir)
+    ok, bad = read_recommendations(spark, _csv_roundtrip(spark, pl.rec_file, "recommendations"))
+    return bad.select("item_id", "location_cd", "supplier", "reject_reason") if rejects else ok
+
+
+def _history_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 staging + filter: the historical file as CSV, typed read, import filter."""
+    from restock.sources.csv import read_history
+    pl = _pl(spark, sf_dir)
+    ok, _ = read_history(spark, _csv_roundtrip(spark, pl.src.historical_file, "history"))
+    return S.history_import(ok, pl.products, pl.vendors)
+
+
+REGISTRY.update({
+    "new_items_csv": _new_items_csv,
+    "recommendations_csv": _recommendations_csv,
+    "recommendations_csv_rejects": lambda spark, d: _recommendations_csv(spark, d, rejects=True),
+    "history_csv_import": _history_csv_import,
+    "recommendation_table": _q(lambda pl: S.to_recommendation_table(pl.recommend("base"), pl.p.as_of)),
+})
