@@ -78,7 +78,7 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
 
 def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, demand: DataFrame,
                item_uom: DataFrame, excess_base: DataFrame, rec_file: DataFrame,
-               p: Params) -> DataFrame:
+               p: Params, detail: bool = False) -> DataFrame:
     """Placed orders next to the recommendation for the same item, vendor
     and FC ('Manual Order' when none) and the excess-base targets of the order
     day and the day after."""
@@ -91,13 +91,16 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
     uom = (item_uom.where(F.col("wh_id") == p.uom_warehouse)
            .groupBy(F.col("item_number").alias("product_part_number"))
            .agg(F.max(F.col("cartonization_flag") == "NO").alias("_sioc")))
-    eb = excess_base.select("product_part_number", "snapshot_date", "oh_oo", "outl", "units_above_outl")
+    eb = excess_base.select("product_part_number", "snapshot_date", "oh_oo", "outl", "units_above_outl",
+                            "fcast_over_lt_rp", "oh", "oo")
     oy = eb.select("product_part_number", F.col("snapshot_date").alias("document_order_date"),
                    F.col("oh_oo").alias("ip_dayof"), F.col("outl").alias("_outl_y"),
-                   F.col("units_above_outl").alias("_above_y"))
+                   F.col("units_above_outl").alias("_above_y"), F.col("fcast_over_lt_rp").alias("_fclt_y"),
+                   F.col("oh").alias("oh_dayof"), F.col("oo").alias("oo_dayof"))
     ot = eb.select("product_part_number", F.date_sub("snapshot_date", 1).alias("document_order_date"),
                    F.col("oh_oo").alias("ip_dayafter"), F.col("outl").alias("_outl_t"),
-                   F.col("units_above_outl").alias("_above_t"))
+                   F.col("units_above_outl").alias("_above_t"),
+                   F.col("oh").alias("oh_dayafter"), F.col("oo").alias("oo_dayafter"))
     ro = rec_file.select(F.col("item_id").alias("product_part_number"),
                          supplier_vendor(F.col("supplier")).alias("vendor_number"),
                          F.col("location_cd").alias("location_code"), "action", "region",
@@ -111,6 +114,9 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
          .join(ot, ["product_part_number", "document_order_date"], "left")
          .join(ro, ["product_part_number", "vendor_number", "location_code"], "left"))
     change = F.col("_above_t") - F.col("_above_y")
+    # Lead-time forecast and raw on-hand / on-order of both days
+    d8 = [F.round("_fclt_y", 5).alias("fcast_over_lt_rp"), "oo_dayof", "oh_dayof",
+          "oo_dayafter", "oh_dayafter"] if detail else []
     return j.select(
         "purchaser_code", "mc1", "document_order_date", "region", "location_code", "orders_placed",
         F.coalesce("action", F.lit("Manual Order")).alias("recommendation"),
@@ -126,6 +132,7 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
         F.round("_above_t", 0).alias("excess_units_dayafter"),
         F.round(change, 0).alias("dod_excess_change"),
         F.round(safe_div(change, F.col("network_avedemqty")), 2).alias("network_dos_for_excess_inventory_change"),
+        *d8,
     )
 
 

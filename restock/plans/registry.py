@@ -117,6 +117,9 @@ REGISTRY: dict[str, QueryFn] = {
         .withColumnsRenamed({"_u": "units_per_cost", "_c": "cost_per_unit"})),
     "network_demand": _q(lambda pl: pl.network_demand),
     "compliance": _q(lambda pl: pl.compliance),
+    "compliance_detail": _q(lambda pl: C.compliance(
+        pl.placed_orders_rollup, pl.products, pl.vendors, pl.network_demand, pl.src.item_uom,
+        pl.excess_base, pl.rec_file, pl.p, detail=True)),
     "trailing_performance": _q(lambda pl: pl.trailing_performance),
     "compliance_report": _q(lambda pl: pl.compliance_report),
     # KPI
