@@ -15,8 +15,10 @@ Derivation rules (fixed values of the test layout):
   products           abc by p_size % 4; discontinued null/true/false by
                      p_size % 10 = 0 / 9 / other; private label Brand#13, null
                      when p_size % 7 = 0
-  item attributes    parts with key % 5 = 0; NEW_ITEM when key % 20 = 0, id
-                     prefixed 'RX' when key % 40 = 0
+  item attributes    one row per part: NEW_ITEM when key % 20 = 0 (id
+                     prefixed 'RX' when key % 40 = 0), else CORE
+  excess base        parts with key % 50 = 7 have no target row, so the inner
+                     join of the regional base (R12) has items to drop
   vendors            buyer 'B' || key % 12; direct import key % 10 = 3 (null 7)
 """
 
@@ -129,7 +131,7 @@ class DriverTables:
     @cached_property
     def item_attr(self) -> DataFrame:
         k = F.col("p_partkey")
-        return self.raw("part").where(k % 5 == 0).select(
+        return self.raw("part").select(
             F.when(k % 40 == 0, F.concat(F.lit("RX"), k.cast("string")))
             .otherwise(k.cast("string")).alias("item_id"),
             F.when(k % 20 == 0, F.lit(self.p.new_item_attr)).otherwise(F.lit("CORE")).alias("attr_cd"),
