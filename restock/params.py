@@ -5,7 +5,7 @@ field here, so the same operators serve any day and any tenant."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,6 @@ class Params:
     # cut lineage after the long sub-plans (regional projection, stock match)
     # with a reliable checkpoint into spark.checkpoint.dir (shared storage)
     checkpoint_stages: bool = False
-    extra: dict = field(default_factory=dict)
 
     @property
     def outl_day(self) -> dt.date:

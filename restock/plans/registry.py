@@ -19,9 +19,23 @@ from restock.sources.adapters import DriverTables
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_INPUTS: dict[tuple, DriverTables] = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str, params: Params | None = None) -> DriverTables:
+    """The logical input views of one tables folder, defined once per session
+    (lazy plans: the file listing and view definitions are shared by every
+    query of the session; no data is cached)."""
+    p = params or Params()
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), p)
+    if key not in _INPUTS:
+        _INPUTS[key] = DriverTables(spark, sf_dir, p)
+    return _INPUTS[key]
+
+
 def _pl(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Pipeline:
     p = params or Params()
-    return Pipeline(DriverTables(spark, sf_dir, p), p)
+    return Pipeline(inputs(spark, sf_dir, p), p)
 
 
 def _q(f: Callable[[Pipeline], DataFrame]) -> QueryFn:

@@ -161,7 +161,7 @@ class DriverTables:
         the 90 days before it hold that day's net movement (the KPI history)."""
         a = self.p.as_of
         ln = self.lines
-        keys = ["product_key", "location_key", "item", "fc"]
+        keys = ["product_key", "location_key"]
         at_as_of = (ln.where(F.col("d") < _d(a)).groupBy(*keys)
                     .agg(F.sum(self._signed_qty()).alias("q"))
                     .withColumn("snapshot_dt", _d(a)))
@@ -172,8 +172,8 @@ class DriverTables:
         pk_lk = F.col("product_key") + F.col("location_key")
         return both.select(
             "product_key", "location_key",
-            F.col("item").alias("product_part_number"),
-            F.col("fc").alias("location_code"),
+            F.col("product_key").cast("string").alias("product_part_number"),
+            fc_code(F.col("location_key")).alias("location_code"),
             (pk_lk % 6 != 0).alias("managed_flag"),
             F.when(pk_lk % 23 == 0, F.lit(None).cast("int")).otherwise(F.col("q").cast("int"))
             .alias("sellable_quantity"),
@@ -231,8 +231,9 @@ class DriverTables:
 
     @cached_property
     def _item_fc_df(self) -> DataFrame:
-        return self.lines.groupBy("item", "product_key", "location_key", "fc").agg(
-            F.max("l_suppkey").alias("max_supp"))
+        return (self.lines.groupBy("product_key", "location_key").agg(F.max("l_suppkey").alias("max_supp"))
+                .select(F.col("product_key").cast("string").alias("item"), "product_key", "location_key",
+                        fc_code(F.col("location_key")).alias("fc"), "max_supp"))
 
     @cached_property
     def item_location(self) -> DataFrame:
@@ -257,9 +258,11 @@ class DriverTables:
         the previous run date (stale proposals)."""
         a = self.p.as_of
         g = (self.lines.where(F.col("d").between(_d(a), _d(a + dt.timedelta(days=60))))
-             .groupBy("item", "product_key", "location_key", "fc")
+             .groupBy("product_key", "location_key")
              .agg(F.sum("qty").alias("q"), F.min("d").alias("duedate"),
-                  F.max("l_returnflag").alias("mrf"), F.max("l_suppkey").alias("ms")))
+                  F.max("l_returnflag").alias("mrf"), F.max("l_suppkey").alias("ms"))
+             .withColumns({"item": F.col("product_key").cast("string"),
+                           "fc": fc_code(F.col("location_key"))}))
         run = F.when(F.col("product_key") % 11 == 0, _d(a - dt.timedelta(days=1))).otherwise(_d(a))
         return g.select(
             "item",
@@ -381,12 +384,14 @@ class DriverTables:
         net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
         return (
             self.lines.where(F.col("d").between(_d(a - dt.timedelta(days=100)), _d(a)))
-            .groupBy(F.col("item").alias("product_part_number"), F.col("d").alias("activity_date"))
+            .groupBy("product_key", F.col("d").alias("activity_date"))
             .agg(F.sum("qty").cast("int").alias("units_sold"),
                  F.sum("l_extendedprice").alias("gross_sales"),
                  (F.sum(net) * 0.3).alias("gross_margin"),
                  (F.sum(net) * 0.1).alias("contribution_margin"),
                  F.sum("l_linenumber").cast("bigint").alias("distinct_pdp_views"))
+            .select(F.col("product_key").cast("string").alias("product_part_number"), "activity_date",
+                    "units_sold", "gross_sales", "gross_margin", "contribution_margin", "distinct_pdp_views")
         )
 
     @cached_property
@@ -396,9 +401,9 @@ class DriverTables:
         a = self.p.as_of
         rm = self.region_map
         ln = self.lines.where(F.col("d").between(_d(a - dt.timedelta(days=10)), _d(a + dt.timedelta(days=60))))
-        g = (ln.join(rm, ln.fc == rm.location_code)
-             .groupBy("item", "product_key", "region", "fc", "l_suppkey")
-             .agg(F.sum("qty").alias("q")))
+        g = (ln.groupBy("product_key", "location_key", "l_suppkey").agg(F.sum("qty").alias("q"))
+             .withColumns({"item": F.col("product_key").cast("string"), "fc": fc_code(F.col("location_key"))}))
+        g = g.join(rm, g.fc == rm.location_code)
         m = (F.col("product_key") + F.col("l_suppkey")) % 4
         return g.select(
             F.when(m == 0, "APPROVE").when(m == 1, "REJECT").when(m == 2, "APPROVE")
