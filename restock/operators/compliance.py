@@ -91,8 +91,12 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
     uom = (item_uom.where(F.col("wh_id") == p.uom_warehouse)
            .groupBy(F.col("item_number").alias("product_part_number"))
            .agg(F.max(F.col("cartonization_flag") == "NO").alias("_sioc")))
-    eb = excess_base.select("product_part_number", "snapshot_date", "oh_oo", "outl", "units_above_outl",
-                            "fcast_over_lt_rp", "oh", "oo")
+    # all placed orders are of one day, so only that day and the next are read
+    # (a literal partition filter, whatever join strategy is picked)
+    day = p.as_of - dt.timedelta(days=p.compliance_lag_days)
+    eb = (excess_base.where(F.col("snapshot_date").between(F.lit(day), F.lit(day + dt.timedelta(days=1))))
+          .select("product_part_number", "snapshot_date", "oh_oo", "outl", "units_above_outl",
+                  "fcast_over_lt_rp", "oh", "oo"))
     oy = eb.select("product_part_number", F.col("snapshot_date").alias("document_order_date"),
                    F.col("oh_oo").alias("ip_dayof"), F.col("outl").alias("_outl_y"),
                    F.col("units_above_outl").alias("_above_y"), F.col("fcast_over_lt_rp").alias("_fclt_y"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from restock.functions.columns import is_false_or_null, supplier_vendor
 from restock.session import staging_path
 
 
@@ -45,6 +46,17 @@ def repair_plan(excess_base: DataFrame, bad: DataFrame | None = None) -> DataFra
             .select(F.col("snapshot_date").alias("bad_date"), "source_date"))
 
 
+def latest_good_snapshot(excess_base: DataFrame, as_of: dt.date) -> dt.date | None:
+    """The last day on or before ``as_of`` whose load is good (safety stock not
+    all zero): the snapshot a run before the upstream batch finishes should use.
+    One small aggregate over the day totals; returns a single date."""
+    row = (excess_base.where(F.col("snapshot_date") <= F.lit(as_of))
+           .groupBy("snapshot_date").agg(F.sum("ss").alias("ss"))
+           .where(F.coalesce(F.col("ss"), F.lit(0.0)) != 0)
+           .agg(F.max("snapshot_date").alias("d")).first())
+    return row.d if row else None
+
+
 def drop_snapshots(excess_base: DataFrame, dates: DataFrame) -> DataFrame:
     """The table without the listed days."""
     return excess_base.join(dates.select("snapshot_date"), "snapshot_date", "left_anti")
@@ -147,7 +159,6 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
 def history_import(hist: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
     """Keep file rows whose item is not private label and whose vendor (the
     supplier code before '-') is not a direct importer."""
-    from restock.functions.columns import is_false_or_null, supplier_vendor
     pr = products.where(is_false_or_null(F.col("private_label_flag"))).select(
         F.col("product_part_number").alias("item"))
     v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")

@@ -15,6 +15,7 @@ class Params:
     # last forecast day read (inclusive)
     horizon_end: dt.date = dt.date(2000, 6, 30)
     # date of the excess-base snapshot used by the recommendation run; None = as_of
+    # (see snapshots.latest_good_snapshot for the last good day on or before as_of)
     outl_date: dt.date | None = None
     # eligible fulfilment centres
     company: str = "ACME"

@@ -9,6 +9,7 @@ shared checkpoint folder so a lost executor does not replay the whole DAG.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from restock.operators import decisions as D
 from restock.operators import snapshots as S
@@ -26,8 +27,8 @@ def run_daily(src, params: Params, table_path: str, variant: str = "base",
     optionally, the sorted hand-off CSV). Returns the written rows, read back."""
     p = params.with_(checkpoint_stages=True)
     rec = Pipeline(src, p).recommend(variant)
-    table = S.to_recommendation_table(rec, p.as_of) if variant == "base" else \
-        rec.withColumn("snapshot_date", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(p.as_of))
+    table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
+             else rec.withColumn("snapshot_date", F.lit(p.as_of)))
     S.write_partitioned(table, table_path)
     written = table.sparkSession.read.parquet(table_path).where(f"snapshot_date = DATE'{p.as_of.isoformat()}'")
     if handoff_csv:

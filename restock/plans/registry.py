@@ -12,6 +12,7 @@ from restock.operators import kpi as K
 from restock.operators import proposals as PR
 from restock.operators import snapshots as S
 from restock.operators import compliance as C
+from restock.operators import decisions as D
 from restock.params import Params
 from restock.plans.pipeline import Pipeline
 from restock.sources.adapters import DriverTables
@@ -92,8 +93,7 @@ REGISTRY: dict[str, QueryFn] = {
     "region_need_left": _q(lambda pl: pl.full_need("fillin").select(
         "item", "region", "location", "fc_need_rank_in_region", "proposed_fc_qty",
         "region_proposed_qty_cummulative", "region_need_left_after_order_cummulative_so99")),
-    "need_fraction": _q(lambda pl: __import__("restock.operators.decisions", fromlist=["x"])
-                        .with_need_fraction(pl.full_need("fillin")).select(
+    "need_fraction": _q(lambda pl: D.with_need_fraction(pl.full_need("fillin")).select(
         "item", "region", "location", "fc_need_rank_in_region", "proposed_fc_qty",
         "region_need_left_after_order_cummulative_so99",
         F.round("fc_region_need_percent_so99", 6).alias("fc_region_need_percent_so99"))),

@@ -172,3 +172,10 @@ def test_repair_table_overwrites_only_bad_partitions(spark, tmp_path):
     S.repair_table(spark, path)
     got = {(r.snapshot_date, r.ss, r.oh) for r in spark.read.parquet(path).collect()}
     assert got == {(d[0], 2.0, 1), (d[1], 2.0, 1), (d[2], 3.0, 3)}
+
+
+def test_latest_good_snapshot(spark):
+    d = [dt.date(2022, 5, k) for k in (1, 2, 3)]
+    eb = _excess(spark, [(d[0], "a", 2.0, 1), (d[1], "a", 0.0, 7), (d[2], "a", 3.0, 3)])
+    assert S.latest_good_snapshot(eb, d[1]) == d[0]
+    assert S.latest_good_snapshot(eb, d[2]) == d[2]
