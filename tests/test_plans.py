@@ -33,3 +33,29 @@ def test_rank_windows_share_one_exchange(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert plan.count("Window ") >= 2
+
+
+def test_stock_tunnel_match_prunes_date_partitions(spark, tmp_path):
+    """Stored by date, the stock tunnel is read only for the proposals' due
+    dates (dynamic partition pruning)."""
+    from restock.operators import proposals as PR
+    from restock.plans.registry import _pl
+    pl = _pl(spark, SF_SMALL)
+    path = str(tmp_path / "stock_tunnel")
+    pl.src.stock_tunnel.write.partitionBy("date").parquet(path)
+    df = PR.fc_need(pl.proposal_base("fillin"), spark.read.parquet(path), "fillin")
+    assert "dynamicpruningexpression(date" in _plan(df)
+
+
+def test_target_snapshot_read_for_one_day(spark, tmp_path):
+    """Stored by day, the target snapshot contributes one partition to R12."""
+    from restock.operators import projection as PJ
+    from restock.plans.registry import _pl
+    pl = _pl(spark, SF_SMALL)
+    path = str(tmp_path / "excess_base")
+    pl.excess_base.write.partitionBy("snapshot_date").parquet(path)
+    df = PJ.regional_base(pl.region_on_hand, pl.network_on_hand, spark.read.parquet(path),
+                          pl.network_on_order, pl.forecast_windows, pl.weekly_on_order, pl.p)
+    scans = [line for line in _plan(df).split("\n")
+             if "FileScan parquet" in line and "PartitionFilters: [isnotnull(snapshot_date" in line]
+    assert scans and all("(snapshot_date" in s and "= 2000-01-05)" in s for s in scans), scans
