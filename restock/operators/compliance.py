@@ -72,8 +72,11 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
     cil = (item_location.withColumn("_pfx", supplier_vendor(F.col("supplier")))
            .where(F.col("_pfx").isNotNull() & ~F.col("_pfx").isin("", "?"))
            .join(own, "_pfx", "left_anti"))
-    return (cil.join(items, "item", "left_semi").groupBy(F.col("item").alias("product_part_number"))
-            .agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty")))
+    # aggregate per item first (partial + final), then keep the ordered items:
+    # the semi join shuffles one row per item instead of one per item x FC
+    per_item = cil.groupBy("item").agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty"))
+    return (per_item.join(items, "item", "left_semi")
+            .select(F.col("item").alias("product_part_number"), "network_avedemqty"))
 
 
 def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, demand: DataFrame,
@@ -152,14 +155,16 @@ def trailing_performance(perf: DataFrame, comp: DataFrame, p: Params) -> DataFra
     items. Each item is counted once (semi join), not once per order line."""
     end = p.as_of - dt.timedelta(days=p.performance_end_lag_days)
     start = end - dt.timedelta(days=p.performance_days - 1)
-    f = (perf.where(F.col("activity_date").between(F.lit(start), F.lit(end)))
-         .join(comp.select("product_part_number"), "product_part_number", "left_semi"))
+    f = perf.where(F.col("activity_date").between(F.lit(start), F.lit(end)))
     aggs = []
     for src, tot, avg in PERF_MEASURES:
         s = F.sum(src)
         aggs += [(s if src in ("units_sold", "distinct_pdp_views") else F.round(s, 4)).alias(tot),
                  F.round(F.avg(src), 4).alias(avg)]
-    return f.groupBy("product_part_number").agg(*aggs)
+    # aggregate the item x day facts per item first, then keep the compliance
+    # items: one shuffled row per item instead of one per item x day
+    return (f.groupBy("product_part_number").agg(*aggs)
+            .join(comp.select("product_part_number"), "product_part_number", "left_semi"))
 
 
 REPORT_COLUMNS = [

@@ -18,10 +18,16 @@ def weekly_forecast(forecast: DataFrame, products: DataFrame, locations: DataFra
     for days as_of .. horizon_end at eligible FCs."""
     f = forecast.where(F.col("forecast_dt").between(F.lit(p.as_of), F.lit(p.horizon_end)))
     fcs = eligible_fc_regions(locations, region_map, p).select("location_key", "region")
-    return (f.join(products.select("product_key", "product_part_number"), "product_key")
-            .join(fcs, "location_key")
-            .groupBy("product_part_number", "region", week_start("forecast_dt").alias("week"))
-            .agg(F.sum(F.coalesce("manual_quantity", "statistical_quantity")).alias("forecast_region")))
+    # Pre-aggregate before the shuffle: the FC -> region map is a broadcast
+    # (map-side) join, so daily item x FC rows are summed to item x region x
+    # week (partial + final aggregate) before the product join, which then
+    # shuffles ~7 x FCs-per-region fewer rows. Exact: product_key -> part
+    # number is one-to-one and both joins only filter or map keys.
+    weekly = (f.join(fcs, "location_key")
+              .groupBy("product_key", "region", week_start("forecast_dt").alias("week"))
+              .agg(F.sum(F.coalesce("manual_quantity", "statistical_quantity")).alias("forecast_region")))
+    return (weekly.join(products.select("product_key", "product_part_number"), "product_key")
+            .select("product_part_number", "region", "week", "forecast_region"))
 
 
 def forecast_windows(weekly: DataFrame, p: Params) -> DataFrame:

@@ -36,6 +36,42 @@ def instock_base(snapshot: DataFrame, region_map: DataFrame, lifecycle: DataFram
                     F.col("_hg").isNotNull().alias("hg_ordered_item")))
 
 
+def oos_units(snapshot: DataFrame, region_map: DataFrame, lifecycle: DataFrame, rec_file: DataFrame,
+              p: Params, by_region: bool = True) -> DataFrame:
+    """Sellable units per day, item, tracked flag (and region), with the
+    filters of ``instock_base``, summed *before* the lifecycle join: the region
+    map is a broadcast (map-side) join, so item x FC rows are pre-aggregated to
+    item x region (or item) before any shuffle. Exact, because the lifecycle
+    snapshot has one row per day and item (a filter here) and the tracked flag
+    is a function of the item."""
+    s = (snapshot.where(F.col("snapshot_dt").between(F.lit(p.kpi_start), F.lit(p.as_of - dt.timedelta(days=1))))
+         .join(bounded_broadcast(region_map), "location_code"))
+    keys = ["snapshot_dt", "product_part_number"] + (["region"] if by_region else [])
+    units = s.groupBy(*keys).agg(F.sum(F.coalesce("sellable_quantity", F.lit(0))).alias("sellable_units"))
+    lc = (lifecycle.where(is_false_or_null(F.col("discontinued_flag")) & is_false_or_null(F.col("dropship_flag")))
+          .select(F.col("snapshot_date").alias("snapshot_dt"), "product_part_number"))
+    tr = tracked_items(rec_file).select(F.col("item_id").alias("product_part_number"), F.lit(True).alias("_hg"))
+    return (units.join(lc, ["snapshot_dt", "product_part_number"], "left_semi")
+            .join(tr, "product_part_number", "left")
+            .select(F.col("snapshot_dt").alias("snapshot_date"), "product_part_number",
+                    F.col("_hg").isNotNull().alias("hg_ordered_item"),
+                    *(["region"] if by_region else []), "sellable_units"))
+
+
+def region_oos_from_snapshot(snapshot, region_map, lifecycle, rec_file, p: Params) -> DataFrame:
+    """K2 computed with pre-aggregation (same result as ``region_oos(instock_base(...))``)."""
+    u = oos_units(snapshot, region_map, lifecycle, rec_file, p, by_region=True)
+    return u.select("snapshot_date", "product_part_number", "hg_ordered_item", "region",
+                    F.when(F.col("sellable_units") <= 0, 1).otherwise(0).alias("region_oos"))
+
+
+def network_oos_from_snapshot(snapshot, region_map, lifecycle, rec_file, p: Params) -> DataFrame:
+    """K4 computed with pre-aggregation (same result as ``network_oos(instock_base(...))``)."""
+    u = oos_units(snapshot, region_map, lifecycle, rec_file, p, by_region=False)
+    return u.select("snapshot_date", "product_part_number", "hg_ordered_item",
+                    F.when(F.col("sellable_units") <= 0, 1).otherwise(0).alias("network_oos"))
+
+
 def _oos(col_name: str):
     return F.when(F.coalesce(F.sum("sellable_units"), F.lit(0)) <= 0, 1).otherwise(0).alias(col_name)
 
@@ -94,7 +130,9 @@ def split_orders(order_line: DataFrame, orders: DataFrame, locations: DataFrame,
 
 
 def split_order_items(splits: DataFrame, order_line: DataFrame, products: DataFrame) -> DataFrame:
-    """K7: every line (any FC) of the selected orders, with its item."""
+    """K7: every line (any FC) of the selected orders, with its item. (No date
+    pre-filter is possible: the order's first release is taken over eligible-FC
+    lines only, and lines at other FCs may be released earlier.)"""
     return (splits.join(order_line.select("order_key", "product_key"), "order_key")
             .join(products.select("product_key", "product_part_number"), "product_key")
             .select("order_key", "order_released_date", "is_split", "product_part_number"))

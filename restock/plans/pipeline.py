@@ -214,6 +214,16 @@ class Pipeline:
         return K.order_zone(self.src.order_line, self.src.orders, self.src.shipment_order_line,
                             self.locations, self.products, self.rec_file, self.p)
 
+    @cached_property
+    def region_oos(self):
+        return K.region_oos_from_snapshot(self.src.inventory_snapshot, self.region_map,
+                                          self.src.product_lifecycle, self.rec_file, self.p)
+
+    @cached_property
+    def network_oos(self):
+        return K.network_oos_from_snapshot(self.src.inventory_snapshot, self.region_map,
+                                           self.src.product_lifecycle, self.rec_file, self.p)
+
     # -- snapshot table ----------------------------------------------------------------
     @cached_property
     def outl_bad_dates(self):

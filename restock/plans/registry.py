@@ -138,10 +138,10 @@ REGISTRY: dict[str, QueryFn] = {
     "compliance_report": _q(lambda pl: pl.compliance_report),
     # KPI
     "instock_base": _q(lambda pl: pl.instock_base),
-    "region_oos": _q(lambda pl: K.region_oos(pl.instock_base)),
-    "region_oos_rate": _q(lambda pl: K.region_oos_rate(K.region_oos(pl.instock_base))),
-    "network_oos": _q(lambda pl: K.network_oos(pl.instock_base)),
-    "network_oos_rate": _q(lambda pl: K.network_oos_rate(K.network_oos(pl.instock_base))),
+    "region_oos": _q(lambda pl: pl.region_oos),
+    "region_oos_rate": _q(lambda pl: K.region_oos_rate(pl.region_oos)),
+    "network_oos": _q(lambda pl: pl.network_oos),
+    "network_oos_rate": _q(lambda pl: K.network_oos_rate(pl.network_oos)),
     "split_orders": _q(lambda pl: pl.split_orders),
     "split_order_items": _q(lambda pl: pl.split_order_items),
     "tracked_items": _q(lambda pl: K.tracked_items(pl.rec_file)),
