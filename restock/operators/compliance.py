@@ -158,9 +158,7 @@ def trailing_performance(perf: DataFrame, comp: DataFrame, p: Params) -> DataFra
     f = perf.where(F.col("activity_date").between(F.lit(start), F.lit(end)))
     aggs = []
     for src, tot, avg in PERF_MEASURES:
-        s = F.sum(src)
-        aggs += [(s if src in ("units_sold", "distinct_pdp_views") else F.round(s, 4)).alias(tot),
-                 F.round(F.avg(src), 4).alias(avg)]
+        aggs += [F.sum(src).alias(tot), F.avg(src).alias(avg)]
     # aggregate the item x day facts per item first, then keep the compliance
     # items: one shuffled row per item instead of one per item x day
     return (f.groupBy("product_part_number").agg(*aggs)

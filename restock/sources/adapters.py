@@ -247,7 +247,7 @@ class DriverTables:
             "item", F.col("fc").alias("location"), supplier.alias("supplier"),
             (pk % 7 + 1).cast("int").alias("minresint"),
             ((pk * 7 + lk) % 200).cast("int").alias("minreslot"),
-            ((pk % 50).cast("double") / 10.0).alias("avedemqty"),
+            ((pk % 50).cast("double") / 8.0).alias("avedemqty"),
         )
 
     @cached_property
@@ -355,7 +355,7 @@ class DriverTables:
             q.alias("original_quantity"),
             (q - ln % 2).cast("int").alias("last_version_quantity"),
             (q % 5).cast("int").alias("outstanding_quantity"),
-            F.when(ln == 3, F.lit(0.0)).otherwise(F.col("l_extendedprice")).alias("total_cost"),
+            F.when(ln == 3, F.lit(0.0)).otherwise(F.round("l_extendedprice", 0)).alias("total_cost"),
             (ln == 6).alias("deleted_by_users"),
             F.when((F.col("l_returnflag") == "R") & (ln == 1), "Transfer").otherwise(self.p.document_type)
             .alias("document_type"),
@@ -381,14 +381,16 @@ class DriverTables:
     @cached_property
     def merch_performance(self) -> DataFrame:
         a = self.p.as_of
-        net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+        # money in whole units, margins as 1/4 and 1/8 of sales: exact binary
+        # values, so sums do not depend on the order rows are added in
+        sales = F.round("l_extendedprice", 0)
         return (
             self.lines.where(F.col("d").between(_d(a - dt.timedelta(days=100)), _d(a)))
             .groupBy("product_key", F.col("d").alias("activity_date"))
             .agg(F.sum("qty").cast("int").alias("units_sold"),
-                 F.sum("l_extendedprice").alias("gross_sales"),
-                 (F.sum(net) * 0.3).alias("gross_margin"),
-                 (F.sum(net) * 0.1).alias("contribution_margin"),
+                 F.sum(sales).alias("gross_sales"),
+                 (F.sum(sales) * 0.25).alias("gross_margin"),
+                 (F.sum(sales) * 0.125).alias("contribution_margin"),
                  F.sum("l_linenumber").cast("bigint").alias("distinct_pdp_views"))
             .select(F.col("product_key").cast("string").alias("product_part_number"), "activity_date",
                     "units_sold", "gross_sales", "gross_margin", "contribution_margin", "distinct_pdp_views")
