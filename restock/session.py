@@ -9,6 +9,37 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB of inputs).
+# Shuffles start wide and AQE coalesces them to ~advisory size, so one
+# partition never holds more than a few hundred MB whatever the day's volume;
+# skewed partitions (one hot item, order or day) are split at runtime.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # static broadcast only for truly small sides; AQE may still broadcast a
+    # side whose materialised size is under the runtime threshold
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "128m",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply ``CLUSTER_CONF`` (runtime SQL settings only) to a session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
