@@ -28,7 +28,7 @@ def inputs(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Dr
     (lazy plans: the file listing and view definitions are shared by every
     query of the session; no data is cached)."""
     p = params or Params()
-    key = (id(spark), sf_dir.rstrip("/"), p)
+    key = (spark.conf.get("spark.app.id", ""), id(spark), sf_dir.rstrip("/"), p)
     if key not in _INPUTS:
         _INPUTS[key] = DriverTables(spark, sf_dir, p)
     return _INPUTS[key]
