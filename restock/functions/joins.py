@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # hint is applied; beyond it the join is left to the planner (sort-merge, or an
 # AQE runtime broadcast if the materialised side turns out small).
 DIM_ROW_BOUND = 10_000
+# vendors and short item lists: small in practice, but checked all the same
+SMALL_TABLE_ROW_BOUND = 200_000
 
 _checked: dict[tuple, bool] = {}
 

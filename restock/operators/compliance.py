@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions.columns import is_false_or_null, safe_div, supplier_vendor
+from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
 from restock.params import Params
 
 
@@ -15,7 +16,8 @@ def units_by_action(rec_file: DataFrame, products: DataFrame, vendors: DataFrame
     """Recommended units per action, private label and direct import excluded."""
     pr = products.where(is_false_or_null(F.col("private_label_flag"))).select(
         F.col("product_part_number").alias("item_id"))
-    v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
+    v = bounded_broadcast(vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number"),
+                          SMALL_TABLE_ROW_BOUND)
     return (rec_file.join(pr, "item_id", "left_semi")
             .join(v, supplier_vendor(F.col("supplier")) == v.vendor_number, "left_semi")
             .groupBy("action").agg(F.sum("proposed_qty").alias("total_ordered_units")))
@@ -35,7 +37,8 @@ def placed_orders(proc: DataFrame, products: DataFrame, vendors: DataFrame, loca
         & is_false_or_null(F.col("wms_closed_flag"))
         & is_false_or_null(F.col("ready_to_reconcile_flag")))
     return (f.join(products.select("product_key"), "product_key", "left_semi")
-            .join(vendors.select("vendor_key", "vendor_number", "vendor_name"), "vendor_key")
+            .join(bounded_broadcast(vendors.select("vendor_key", "vendor_number", "vendor_name"),
+                                    SMALL_TABLE_ROW_BOUND), "vendor_key")
             .join(locations.select("location_key", "location_code"), "location_key")
             .select(F.col("document_order_dttm").cast("date").alias("document_order_date"),
                     "purchaser_code", "document_number", "location_code", "vendor_number", "vendor_name",
@@ -88,8 +91,9 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
     pr = products.select("product_part_number", F.col("merch_classification1").alias("mc1"),
                          F.col("abc_code").alias("product_abc_code"), "private_label_flag",
                          F.col("discontinued_flag").alias("product_discontinued_flag"))
-    v = vendors.select("vendor_number", F.col("vendor_name").alias("_vname"),
-                       F.col("direct_import_flag").alias("vendor_direct_import_flag"))
+    v = bounded_broadcast(vendors.select("vendor_number", F.col("vendor_name").alias("_vname"),
+                                         F.col("direct_import_flag").alias("vendor_direct_import_flag")),
+                          SMALL_TABLE_ROW_BOUND)
     # one unit-of-measure row per item (the warehouse may list several units)
     uom = (item_uom.where(F.col("wh_id") == p.uom_warehouse)
            .groupBy(F.col("item_number").alias("product_part_number"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.functions.columns import clamp0, need_fraction, safe_div, supplier_vendor, week_start
+from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
 from restock.operators.proposals import _check, rank_windows
 from restock.params import Params
 
@@ -130,9 +131,10 @@ def recommend(full: DataFrame, vendors: DataFrame, item_attrs: DataFrame, p: Par
     rows (proposal present, not private label, not direct import, buyer listed)."""
     _check(variant)
     n = with_need_fraction(full)
-    v = vendors.select("vendor_number", F.col("purchaser_code").alias("supply_planner"), "vendor_name",
-                       F.col("distribution_method").alias("vendor_distribution_method"),
-                       F.col("direct_import_flag").alias("vendor_direct_import_flag"))
+    v = bounded_broadcast(vendors.select(
+        "vendor_number", F.col("purchaser_code").alias("supply_planner"), "vendor_name",
+        F.col("distribution_method").alias("vendor_distribution_method"),
+        F.col("direct_import_flag").alias("vendor_direct_import_flag")), SMALL_TABLE_ROW_BOUND)
     attrs = item_attrs.select(F.col("product_part_number").alias("item"), "mc1",
                               F.col("product_abc_code").alias("_abc"),
                               F.col("is_new_item").alias("_new"), "private_label_flag")

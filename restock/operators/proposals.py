@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.functions.columns import clamp0, is_false_or_null, prefix, supplier_vendor
-from restock.functions.joins import bounded_broadcast
+from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
 from restock.params import Params
 
 VARIANTS = ("base", "fillin")
@@ -49,7 +49,7 @@ def proposal_base(item_location: DataFrame, region_map: DataFrame, products: Dat
     j = cil.join(prop, cond, "left")
     # self transfers: supplier equal to an FC code (null supplier = no proposal, kept)
     j = j.join(rm.select(F.col("location_code").alias("p_supplier")), "p_supplier", "left_anti")
-    v = vendors.select("vendor_number", "vendor_name")
+    v = bounded_broadcast(vendors.select("vendor_number", "vendor_name"), SMALL_TABLE_ROW_BOUND)
     j = j.join(v, supplier_vendor(F.col("p_supplier")) == v.vendor_number, "left")
     w = Window.partitionBy("item", "region")
     if variant == "base":

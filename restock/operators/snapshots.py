@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from restock.functions.columns import is_false_or_null, supplier_vendor
+from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
 from restock.session import staging_path
 
 
@@ -161,6 +162,7 @@ def history_import(hist: DataFrame, products: DataFrame, vendors: DataFrame) ->
     supplier code before '-') is not a direct importer."""
     pr = products.where(is_false_or_null(F.col("private_label_flag"))).select(
         F.col("product_part_number").alias("item"))
-    v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
+    v = bounded_broadcast(vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number"),
+                          SMALL_TABLE_ROW_BOUND)
     return (hist.join(pr, "item", "left_semi")
             .join(v, supplier_vendor(F.col("supplier")) == v.vendor_number, "left_semi"))
