@@ -89,6 +89,15 @@ def fc_need(props: DataFrame, stock_tunnel: DataFrame, variant: str = "fillin")
     return j.select(*cols)
 
 
+def unmatched_proposal_rows(props: DataFrame) -> DataFrame:
+    """Q15 metric: proposal-base rows whose region has no earliest due date
+    (only fill-in or status-less proposals there), which the stock-tunnel match
+    drops; counted per region and proposal type."""
+    return (props.where(F.col("min_erdd_region").isNull())
+            .groupBy("region", "proposal_type").agg(F.count(F.lit(1)).alias("dropped_rows"),
+                                                   F.count("supplier").alias("dropped_proposals")))
+
+
 def rank_windows(variant: str) -> tuple[Window, Window]:
     """(regional, network) orderings of the need rank. Ties are broken by FC so
     ranks and running sums are deterministic (one row per item x FC)."""

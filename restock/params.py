@@ -17,6 +17,9 @@ class Params:
     # date of the excess-base snapshot used by the recommendation run; None = as_of
     # (see snapshots.latest_good_snapshot for the last good day on or before as_of)
     outl_date: dt.date | None = None
+    # "as_of": use outl_date (default as_of); "latest_good": use the last day on
+    # or before as_of whose load is good (a run before the upstream batch ends)
+    outl_date_rule: str = "as_of"
     # eligible fulfilment centres
     company: str = "ACME"
     # buyers whose proposals are in scope (base variant, compliance)

@@ -30,6 +30,12 @@ class Pipeline:
     def __init__(self, src, params: Params | None = None):
         self.src = src
         self.p = params or getattr(src, "p", None) or Params()
+        if self.p.outl_date_rule == "latest_good" and self.p.outl_date is None:
+            # one small aggregate over the day totals; a single date comes back
+            good = S.latest_good_snapshot(src.excess_base, self.p.as_of)
+            self.p = self.p.with_(outl_date=good)
+        elif self.p.outl_date_rule not in ("as_of", "latest_good"):
+            raise ValueError(f"unknown outl_date_rule {self.p.outl_date_rule!r}")
         self._memo: dict = {}
 
     def _cut(self, df: DataFrame) -> DataFrame:

@@ -79,6 +79,7 @@ REGISTRY: dict[str, QueryFn] = {
     "proposal_base_fillin": _q(lambda pl: pl.proposal_base("fillin")),
     "fc_need": _q(lambda pl: pl.fc_need("base")),
     "fc_need_fillin": _q(lambda pl: pl.fc_need("fillin")),
+    "unmatched_proposal_rows": _q(lambda pl: PR.unmatched_proposal_rows(pl.proposal_base("fillin"))),
     "need_rank": _q(lambda pl: pl.need_rank("base").select(*NEED_RANK_COLS)),
     "need_rank_fillin": _q(lambda pl: pl.need_rank("fillin").select(*NEED_RANK_COLS, "proposal_type")),
     "region_need": _q(lambda pl: pl.region_need("base")),

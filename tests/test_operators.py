@@ -179,3 +179,14 @@ def test_latest_good_snapshot(spark):
     eb = _excess(spark, [(d[0], "a", 2.0, 1), (d[1], "a", 0.0, 7), (d[2], "a", 3.0, 3)])
     assert S.latest_good_snapshot(eb, d[1]) == d[0]
     assert S.latest_good_snapshot(eb, d[2]) == d[2]
+
+
+def test_outl_date_rule_latest_good(spark):
+    from restock.plans.pipeline import Pipeline
+    from restock.plans.registry import inputs
+    from tests.conftest import SF_SMALL
+    src = inputs(spark, SF_SMALL)
+    # the day before the run day is a bad load: the last good day is as_of - 3
+    p = Params(as_of=P.as_of - dt.timedelta(days=1), outl_date_rule="latest_good")
+    assert Pipeline(src, p).p.outl_day == P.as_of - dt.timedelta(days=3)
+    assert Pipeline(src, Params(outl_date_rule="latest_good")).p.outl_day == P.as_of
