@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from restock.operators import compliance as C
 from restock.operators import decisions as D
@@ -164,15 +165,40 @@ class Pipeline:
     def region_need(self, variant: str):
         return PR.region_need(self.fc_need(variant), variant)
 
+    def _for_items(self, base: DataFrame, items: DataFrame) -> DataFrame:
+        """Rows of ``base`` for the given items only. The projection is computed
+        per (item, region), so dropping whole items before its windows is exact;
+        the semi join's item partitioning also satisfies the windows."""
+        return base.join(items.select(F.col("item").alias("product_part_number")).distinct(),
+                         "product_part_number", "left_semi")
+
+    def projected_state_for(self, items: DataFrame) -> DataFrame:
+        """R14 for the items of today's proposal rows only (what R19 looks up)."""
+        return self._cut(PJ.projected_state(self._for_items(self.regional_base, items),
+                                            self.item_attributes, self.p.projection_mode))
+
+    @cached_property
+    def proposal_items(self) -> DataFrame:
+        """Items with a proposal on the run date: a superset of the items of any
+        stock-tunnel row (each needs a proposal due date in its region), read
+        with one pruned scan of the day's proposals."""
+        return self.src.proposals.where(F.col("prundate") == F.lit(self.p.as_of)).select("item")
+
     def full_need(self, variant: str):
-        return D.full_need(self.fc_need(variant), self.excess_base, self.projected_state, self.p, variant)
+        def build():
+            return D.full_need(self.fc_need(variant), self.excess_base,
+                               self.projected_state_for(self.proposal_items), self.p, variant)
+        return self._once(("full_need", variant), build)
 
     def recommend(self, variant: str):
         return D.recommend(self.full_need(variant), self.vendors, self.item_attributes, self.p, variant)
 
     def network_measures(self):
-        return D.network_measures(self.full_need("fillin"), PR.network_need(self.region_need("fillin")),
-                                  self.network_projection)
+        full = self.full_need("fillin")
+        net_proj = PJ.network_projection(self._for_items(self.regional_base, self.proposal_items),
+                                         self.network_weekly_forecast,
+                                         self.network_weekly_on_order, self.p.projection_mode)
+        return D.network_measures(full, PR.network_need(self.region_need("fillin")), net_proj)
 
     # -- compliance -----------------------------------------------------------------
     @cached_property
