@@ -1 +1 @@
-"""Pipelines (operator chains) and the query registry."""
+"""Operator chains and the query registry."""

@@ -1,6 +1,6 @@
 """Operator chains over a set of logical inputs.
 
-``Pipeline`` memoises each intermediate DataFrame (a lazy plan, not data), so
+``OperatorChain`` memoises each intermediate DataFrame (a lazy plan, not data), so
 queries that share a stage share one logical sub-plan; Spark's exchange reuse
 then avoids recomputing shared shuffles inside one query.
 """
@@ -24,7 +24,7 @@ from restock.operators import snapshots as S
 from restock.params import Params
 
 
-class Pipeline:
+class OperatorChain:
     """``src`` provides the logical inputs as attributes (see
     ``restock.sources.adapters.DriverTables`` for names and columns)."""
 

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from restock.operators import decisions as D
 from restock.operators import snapshots as S
 from restock.params import Params
-from restock.plans.pipeline import Pipeline
+from restock.plans.chain import OperatorChain
 
 
 def recommendations(src, params: Params, variant: str = "base") -> DataFrame:
-    return Pipeline(src, params).recommend(variant)
+    return OperatorChain(src, params).recommend(variant)
 
 
 def run_daily(src, params: Params, table_path: str, variant: str = "base",
@@ -26,7 +26,7 @@ def run_daily(src, params: Params, table_path: str, variant: str = "base",
     """Write the day's base-variant recommendations to ``table_path`` (and,
     optionally, the sorted hand-off CSV). Returns the written rows, read back."""
     p = params.with_(checkpoint_stages=True)
-    rec = Pipeline(src, p).recommend(variant)
+    rec = OperatorChain(src, p).recommend(variant)
     table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
              else rec.withColumn("snapshot_date", F.lit(p.as_of)))
     S.write_partitioned(table, table_path)

@@ -14,7 +14,7 @@ from restock.operators import snapshots as S
 from restock.operators import compliance as C
 from restock.operators import decisions as D
 from restock.params import Params
-from restock.plans.pipeline import Pipeline
+from restock.plans.chain import OperatorChain
 from restock.sources.adapters import DriverTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -34,12 +34,12 @@ def inputs(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Dr
     return _INPUTS[key]
 
 
-def _pl(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Pipeline:
+def _pl(spark: SparkSession, sf_dir: str, params: Params | None = None) -> OperatorChain:
     p = params or Params()
-    return Pipeline(inputs(spark, sf_dir, p), p)
+    return OperatorChain(inputs(spark, sf_dir, p), p)
 
 
-def _q(f: Callable[[Pipeline], DataFrame]) -> QueryFn:
+def _q(f: Callable[[OperatorChain], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f(_pl(spark, sf_dir))
     run.__doc__ = f.__doc__

@@ -8,12 +8,12 @@ from restock.operators import compliance as C
 from restock.operators import kpi as K
 from restock.operators import snapshots as S
 from restock.params import Params
-from restock.plans.pipeline import Pipeline
+from restock.plans.chain import OperatorChain
 
 
 def compliance_reports(src, params: Params) -> dict[str, DataFrame]:
     """Buyer compliance: units by recommended action, compliance fact, report."""
-    pl = Pipeline(src, params)
+    pl = OperatorChain(src, params)
     return {"units_by_action": C.units_by_action(pl.rec_file, pl.products, pl.vendors),
             "compliance": pl.compliance,
             "compliance_report": pl.compliance_report}
@@ -21,7 +21,7 @@ def compliance_reports(src, params: Params) -> dict[str, DataFrame]:
 
 def kpi_reports(src, params: Params) -> dict[str, DataFrame]:
     """In-stock (region and network), order-split and shipping-zone KPIs."""
-    pl = Pipeline(src, params)
+    pl = OperatorChain(src, params)
     return {"region_oos_rate": K.region_oos_rate(pl.region_oos),
             "network_oos_rate": K.network_oos_rate(pl.network_oos),
             "split_rate": K.split_rate(pl.split_order_items, pl.rec_file),
@@ -30,7 +30,7 @@ def kpi_reports(src, params: Params) -> dict[str, DataFrame]:
 
 def snapshot_checks(src, params: Params) -> dict[str, DataFrame]:
     """Target-snapshot table: daily totals, bad days, repaired table."""
-    pl = Pipeline(src, params)
+    pl = OperatorChain(src, params)
     return {"outl_monitor": S.outl_monitor(pl.excess_base),
             "outl_bad_dates": pl.outl_bad_dates,
             "outl_repair": S.outl_repair(pl.excess_base)}

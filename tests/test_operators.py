@@ -182,11 +182,11 @@ def test_latest_good_snapshot(spark):
 
 
 def test_outl_date_rule_latest_good(spark):
-    from restock.plans.pipeline import Pipeline
+    from restock.plans.chain import OperatorChain
     from restock.plans.registry import inputs
     from tests.conftest import SF_SMALL
     src = inputs(spark, SF_SMALL)
     # the day before the run day is a bad load: the last good day is as_of - 3
     p = Params(as_of=P.as_of - dt.timedelta(days=1), outl_date_rule="latest_good")
-    assert Pipeline(src, p).p.outl_day == P.as_of - dt.timedelta(days=3)
-    assert Pipeline(src, Params(outl_date_rule="latest_good")).p.outl_day == P.as_of
+    assert OperatorChain(src, p).p.outl_day == P.as_of - dt.timedelta(days=3)
+    assert OperatorChain(src, Params(outl_date_rule="latest_good")).p.outl_day == P.as_of
