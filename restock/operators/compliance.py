@@ -39,7 +39,7 @@ def placed_orders(proc: DataFrame, products: DataFrame, vendors: DataFrame, loca
     return (f.join(products.select("product_key"), "product_key", "left_semi")
             .join(bounded_broadcast(vendors.select("vendor_key", "vendor_number", "vendor_name"),
                                     SMALL_TABLE_ROW_BOUND), "vendor_key")
-            .join(locations.select("location_key", "location_code"), "location_key")
+            .join(bounded_broadcast(locations.select("location_key", "location_code")), "location_key")
             .select(F.col("document_order_dttm").cast("date").alias("document_order_date"),
                     "purchaser_code", "document_number", "location_code", "vendor_number", "vendor_name",
                     "product_part_number", F.col("requested_delivery_dttm").alias("rdd"),
@@ -68,9 +68,10 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
                    p: Params) -> DataFrame:
     """C4: network average demand of the ordered items, over item-FC settings
     not supplied by an own FC and with a real supplier prefix."""
-    own = (locations.where(F.coalesce(F.col("fulfillment_active"), F.lit(False))
-                           & (F.col("company") == p.company) & (F.col("warehouse_type") == 0))
-           .select(F.col("location_code").alias("_pfx")).distinct())
+    own = bounded_broadcast(
+        locations.where(F.coalesce(F.col("fulfillment_active"), F.lit(False))
+                        & (F.col("company") == p.company) & (F.col("warehouse_type") == 0))
+        .select(F.col("location_code").alias("_pfx")).distinct())
     items = rollup.select(F.col("product_part_number").alias("item")).distinct()
     cil = (item_location.withColumn("_pfx", supplier_vendor(F.col("supplier")))
            .where(F.col("_pfx").isNotNull() & ~F.col("_pfx").isin("", "?"))

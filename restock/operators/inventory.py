@@ -33,7 +33,7 @@ def eligible_fc_regions(locations: DataFrame, region_map: DataFrame, p: Params)
     """Eligible FCs that are in the region map: (location_key, location_code, region).
     Bounded by the number of FCs, so it is broadcast after a size check."""
     return bounded_broadcast(
-        eligible_fcs(locations, p).join(region_map, "location_code")
+        eligible_fcs(locations, p).join(bounded_broadcast(region_map), "location_code")
         .select("location_key", "location_code", "region"))
 
 

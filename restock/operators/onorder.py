@@ -20,7 +20,8 @@ def weekly_on_order(onorder: DataFrame, products: DataFrame, documents: DataFram
     lot = reduce(lambda a, b: a | b, [F.col("lotid").contains(m) for m in p.onorder_lot_markers])
     o = onorder.where(lot).withColumn("_d", d).where(F.col("_d") >= F.lit(p.as_of))
     fcs = bounded_broadcast(locations.select("location_key", "location_code")
-                            .join(region_map, "location_code").select("location_key", "region"))
+                            .join(bounded_broadcast(region_map), "location_code")
+                            .select("location_key", "region"))
     return (o.join(products.select(F.col("product_part_number").alias("item")), "item", "left_semi")
             .join(documents.withColumnRenamed("document_number", "lotid"), "lotid")
             .join(fcs, "location_key")
