@@ -59,15 +59,16 @@ def latest_good_snapshot(excess_base: DataFrame, as_of: dt.date) -> dt.date | No
 
 
 def drop_snapshots(excess_base: DataFrame, dates: DataFrame) -> DataFrame:
-    """The table without the listed days."""
-    return excess_base.join(dates.select("snapshot_date"), "snapshot_date", "left_anti")
+    """The table without the listed days (a day list: size-checked broadcast)."""
+    return excess_base.join(bounded_broadcast(dates.select("snapshot_date")), "snapshot_date", "left_anti")
 
 
 def replacement_rows(excess_base: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows of each source day re-dated to the bad day, exact duplicates
     removed (all other columns unchanged)."""
     cols = [c for c in excess_base.columns if c != "snapshot_date"]
-    return (excess_base.join(plan.withColumnRenamed("source_date", "snapshot_date"), "snapshot_date")
+    return (excess_base.join(bounded_broadcast(plan.withColumnRenamed("source_date", "snapshot_date")),
+                             "snapshot_date")
             .select(F.col("bad_date").alias("snapshot_date"), *cols).distinct())
 
 
