@@ -51,6 +51,11 @@ def proposal_base(item_location: DataFrame, region_map: DataFrame, products: Dat
     j = j.join(rm.select(F.col("location_code").alias("p_supplier")), "p_supplier", "left_anti")
     v = bounded_broadcast(vendors.select("vendor_number", "vendor_name"), SMALL_TABLE_ROW_BOUND)
     j = j.join(v, supplier_vendor(F.col("p_supplier")) == v.vendor_number, "left")
+    # Partition proposal rows by item once: the regional window below, the
+    # stock-tunnel match, the need ranks and running sums and the lookups of
+    # R19 are all keyed by item (plus other columns), so with
+    # spark.sql.requireAllClusterKeysForCoPartition=false they reuse it.
+    j = j.repartition("item")
     w = Window.partitionBy("item", "region")
     if variant == "base":
         min_due = F.min("duedate").over(w)

@@ -15,6 +15,7 @@ from restock.operators import decisions as D
 from restock.operators import snapshots as S
 from restock.params import Params
 from restock.plans.chain import OperatorChain
+from restock.session import ITEM_COPARTITION_CONF, session_conf
 
 
 def recommendations(src, params: Params, variant: str = "base") -> DataFrame:
@@ -23,14 +24,19 @@ def recommendations(src, params: Params, variant: str = "base") -> DataFrame:
 
 def run_daily(src, params: Params, table_path: str, variant: str = "base",
               handoff_csv: str | None = None) -> DataFrame:
-    """Write the day's base-variant recommendations to ``table_path`` (and,
-    optionally, the sorted hand-off CSV). Returns the written rows, read back."""
+    """Write the day's recommendations to ``table_path`` (and, optionally, the
+    sorted hand-off CSV). Returns the written rows, read back.
+
+    The whole run - including the eager checkpoints of the long sub-plans -
+    is planned with item co-partitioning (see ``session.ITEM_COPARTITION_CONF``)."""
     p = params.with_(checkpoint_stages=True)
-    rec = OperatorChain(src, p).recommend(variant)
-    table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
-             else rec.withColumn("snapshot_date", F.lit(p.as_of)))
-    S.write_partitioned(table, table_path)
-    written = table.sparkSession.read.parquet(table_path).where(f"snapshot_date = DATE'{p.as_of.isoformat()}'")
+    spark = src.excess_base.sparkSession
+    with session_conf(spark, ITEM_COPARTITION_CONF):
+        rec = OperatorChain(src, p).recommend(variant)
+        table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
+                 else rec.withColumn("snapshot_date", F.lit(p.as_of)))
+        S.write_partitioned(table, table_path)
+    written = spark.read.parquet(table_path).where(F.col("snapshot_date") == F.lit(p.as_of))
     if handoff_csv:
         (D.presentation_order(written, variant).coalesce(1).write.mode("overwrite")
          .option("header", True).csv(handoff_csv))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,29 @@ CLUSTER_CONF = {
 }
 
 
+# The recommendation chain joins and windows on item (plus region, week, FC or
+# date): letting those operators reuse an item partitioning removes about a
+# third of its shuffles. It is scoped to that run because, session-wide, the
+# same setting could also leave a join partitioned by a low-cardinality key.
+ITEM_COPARTITION_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict):
+    """Set runtime SQL settings for the duration of a block, then restore."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
     """Apply ``CLUSTER_CONF`` (runtime SQL settings only) to a session."""
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():

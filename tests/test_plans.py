@@ -59,3 +59,23 @@ def test_target_snapshot_read_for_one_day(spark, tmp_path):
     scans = [line for line in _plan(df).split("\n")
              if "FileScan parquet" in line and "PartitionFilters: [isnotnull(snapshot_date" in line]
     assert scans and all("(snapshot_date" in s and "= 2000-01-05)" in s for s in scans), scans
+
+
+def test_item_copartitioning_removes_shuffles(spark):
+    """Within the daily run's scoped setting, item-keyed operators reuse the
+    item partitioning of the proposal rows."""
+    from restock.session import ITEM_COPARTITION_CONF, session_conf
+
+    def shuffles():
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            p = _plan(E.queries()["recommend_fillin"](spark, SF_SMALL))
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        return sum(1 for ln in p.split("\n") if "Exchange hashpartitioning" in ln and "Reused" not in ln)
+
+    default = shuffles()
+    with session_conf(spark, ITEM_COPARTITION_CONF):
+        scoped = shuffles()
+    assert scoped < default, (scoped, default)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
