@@ -16,12 +16,17 @@ SMALL_TABLE_ROW_BOUND = 200_000
 _checked: dict[tuple, bool] = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows. The check is one
-    small job (a limited count) per distinct plan and session."""
+def fits_bound(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows: one small job (a limited
+    count) per distinct plan and session."""
     key = (id(df.sparkSession), df.semanticHash(), max_rows)
     ok = _checked.get(key)
     if ok is None:
         ok = df.limit(max_rows + 1).count() <= max_rows
         _checked[key] = ok
-    return F.broadcast(df) if ok else df
+    return ok
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_ROW_BOUND) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if fits_bound(df, max_rows) else df

@@ -20,10 +20,44 @@ from restock.operators import kpi as K
 from restock.operators import onorder as OO
 from restock.operators import projection as PJ
 from restock.operators import proposals as PR
+from restock.functions.joins import SMALL_TABLE_ROW_BOUND, fits_bound
 from restock.operators import snapshots as S
 from restock.params import Params
 
 
+class ItemScope:
+    """The logical inputs of the regional base restricted to a small item set
+    with broadcast semi joins, applied before any aggregation. Exact for every
+    per-item result (the regional base, the projection and the item
+    attributes depend only on the item's own rows)."""
+
+    def __init__(self, src, items: DataFrame, products: DataFrame):
+        self.src, self.p = src, getattr(src, "p", None)
+        self._items = F.broadcast(items)                      # product_part_number, size-checked by caller
+        self._keys = F.broadcast(products.join(self._items, "product_part_number", "left_semi")
+                                 .select("product_key"))
+
+    def __getattr__(self, name):
+        return getattr(self.src, name)
+
+    @cached_property
+    def inventory_snapshot(self) -> DataFrame:
+        return self.src.inventory_snapshot.join(self._items, "product_part_number", "left_semi")
+
+    @cached_property
+    def forecast_current(self) -> DataFrame:
+        return self.src.forecast_current.join(self._keys, "product_key", "left_semi")
+
+    @cached_property
+    def onorder_detail(self) -> DataFrame:
+        return self.src.onorder_detail.join(
+            self._items.withColumnRenamed("product_part_number", "item"), "item", "left_semi")
+
+    @cached_property
+    def excess_base(self) -> DataFrame:
+        return self.src.excess_base.join(self._items, "product_part_number", "left_semi")
+
+
 class OperatorChain:
     """``src`` provides the logical inputs as attributes (see
     ``restock.sources.adapters.DriverTables`` for names and columns)."""
@@ -172,10 +206,27 @@ class OperatorChain:
         return base.join(items.select(F.col("item").alias("product_part_number")).distinct(),
                          "product_part_number", "left_semi")
 
-    def projected_state_for(self, items: DataFrame) -> DataFrame:
-        """R14 for the items of today's proposal rows only (what R19 looks up)."""
-        return self._cut(PJ.projected_state(self._for_items(self.regional_base, items),
-                                            self.item_attributes, self.p.projection_mode))
+    @cached_property
+    def _proposal_scope(self):
+        """The chain over inputs restricted to the run date's proposed items,
+        when that item list is within the broadcast bound; else None."""
+        items = self.proposal_items.select(F.col("item").alias("product_part_number")).distinct()
+        if not fits_bound(items, SMALL_TABLE_ROW_BOUND):
+            return None
+        return OperatorChain(ItemScope(self.src, items, self.products), self.p)
+
+    def _proposal_base_rows(self) -> tuple[DataFrame, DataFrame]:
+        """(regional base, item attributes) for the proposed items: computed from
+        pre-filtered inputs when the item list is small, else filtered after."""
+        scope = self._proposal_scope
+        if scope is not None:
+            return scope.regional_base, scope.item_attributes
+        return self._for_items(self.regional_base, self.proposal_items), self.item_attributes
+
+    def projected_state_for(self) -> DataFrame:
+        """R14 for the items of today's proposals only (what R19 looks up)."""
+        base, attrs = self._proposal_base_rows()
+        return self._cut(PJ.projected_state(base, attrs, self.p.projection_mode))
 
     @cached_property
     def proposal_items(self) -> DataFrame:
@@ -187,7 +238,7 @@ class OperatorChain:
     def full_need(self, variant: str):
         def build():
             return D.full_need(self.fc_need(variant), self.excess_base,
-                               self.projected_state_for(self.proposal_items), self.p, variant)
+                               self.projected_state_for(), self.p, variant)
         return self._once(("full_need", variant), build)
 
     def recommend(self, variant: str):
@@ -195,9 +246,9 @@ class OperatorChain:
 
     def network_measures(self):
         full = self.full_need("fillin")
-        net_proj = PJ.network_projection(self._for_items(self.regional_base, self.proposal_items),
-                                         self.network_weekly_forecast,
-                                         self.network_weekly_on_order, self.p.projection_mode)
+        scope = self._proposal_scope or self
+        net_proj = PJ.network_projection(self._proposal_base_rows()[0], scope.network_weekly_forecast,
+                                         scope.network_weekly_on_order, self.p.projection_mode)
         return D.network_measures(full, PR.network_need(self.region_need("fillin")), net_proj)
 
     # -- compliance -----------------------------------------------------------------
