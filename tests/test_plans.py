@@ -79,3 +79,13 @@ def test_item_copartitioning_removes_shuffles(spark):
         scoped = shuffles()
     assert scoped < default, (scoped, default)
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_cluster_conf_runs_and_keeps_results(spark, con):
+    """The cluster settings are valid runtime SQL settings and do not change results."""
+    from restock.session import CLUSTER_CONF, session_conf
+    from tests.oracle_compare import compare
+    with session_conf(spark, CLUSTER_CONF):
+        for key in ("region_oos_rate", "recommend"):
+            r = compare(E.queries()[key](spark, SF_SMALL), con, E.oracle_sql()[key])
+            assert r["match"], (key, r)
