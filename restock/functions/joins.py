@@ -16,6 +16,11 @@ SMALL_TABLE_ROW_BOUND = 200_000
 _checked: dict[tuple, bool] = {}
 
 
+def reset_size_checks() -> None:
+    """Forget earlier size checks (a new run re-checks tables that may have grown)."""
+    _checked.clear()
+
+
 def fits_bound(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows: one small job (a limited
     count) per distinct plan and session."""

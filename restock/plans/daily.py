@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from restock.functions.joins import reset_size_checks
 from restock.operators import decisions as D
 from restock.operators import snapshots as S
 from restock.params import Params
@@ -31,6 +32,7 @@ def run_daily(src, params: Params, table_path: str, variant: str = "base",
     is planned with item co-partitioning (see ``session.ITEM_COPARTITION_CONF``)."""
     p = params.with_(checkpoint_stages=True)
     spark = src.excess_base.sparkSession
+    reset_size_checks()                      # tables may have grown since an earlier run
     with session_conf(spark, ITEM_COPARTITION_CONF):
         rec = OperatorChain(src, p).recommend(variant)
         table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
