@@ -1,0 +1,80 @@
+import hashlib
+import random
+import re
+import string
+
+from pyspark.sql import functions as F
+
+from restock.llm import secret_scan as S
+from tests.llm.helpers import DOCUMENTS, SF, docs, put
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+PLAIN = {"assign": (ASSIGN, lambda m: len(m[2]) >= 6), "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+         "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)}
+ODD = ["", None, "token=secret:abcdefgh", 'é𝒳 PassWord" :  "ab.cdef" api_key=\'xy', "token==abcdef token=ab",
+       "secret=token:abcdefgh AKIA" + "A" * 16, "AKIAAKIA" + "B" * 12 + "c", "x" + "0f" * 12, "f" * 23,
+       "password=" + "a1" * 30000, "ſecret=abcdefgh toKen=abcdefgh", "a\x00b apikey = 'deadbeefdeadbeefdeadbeef'",
+       "passwd: " + "0123456789abcdef" * 3 + "\n" + "AKIA" + "Z" * 30]
+
+
+def plain(text):
+    text = text or ""
+    spans = sorted((m.start(), i, m.end()) for i, (k, (p, ok)) in enumerate(PLAIN.items()) for m in p.finditer(text) if ok(m))
+    return spans
+
+
+def spelled(spans):
+    return ",".join(f"{(*S.KINDS, 'markov')[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def check(rows, texts):
+    for r in rows:
+        want = plain(texts[r.doc_id])
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in want) for i in range(3)], r
+        assert r.base_sha256 == hashlib.sha256(spelled(want).encode()).hexdigest()
+        got = [x for x in r.spans.split(",") if x and not x.startswith("markov:")]
+        assert ",".join(got) == spelled(want)
+
+
+def test_base_matches_brute_force_on_odd_texts(spark, tmp_path):
+    rows = S.query(spark, put(docs(spark, ODD * 2), tmp_path)).collect()
+    assert len(rows) == 2 * len(ODD)
+    check(rows, dict(enumerate(ODD * 2)))
+
+
+def test_query_matches_brute_force_on_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = S.query(spark, SF).collect()
+    assert len(rows) == len(texts)
+    check(rows, texts)
+
+
+def test_markov_finds_random_strings_and_leaves_words(spark):
+    words = "nation thereation beforehand understanding international responsibility administration relationship".split()
+    rng = random.Random(1)
+    noise = ["".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(300)]
+    train = spark.createDataFrame([(w * 2, False) for w in words] * 30 + [(r, True) for r in noise] + [(None, True), ("x", None)],
+                                  "token string, random boolean")
+    model = S.train(train)
+    df = docs(spark, ["the key is q8Zr31mVx0Wd92KfLp7T here", "an internationalresponsibility matters", "1234567890123456 card"])
+    got = {r.doc_id: r.s for r in S.scan(df, model, out="s").collect()}
+    assert [tuple(x) for x in got[0]] == [(11, 3, 31)]
+    assert got[1] == [] and got[2] == []
+
+
+def test_redaction_and_clashing_columns(spark):
+    df = docs(spark, ["a token=abcdef b", None, "clean"]).withColumn("spans", F.lit(1)).withColumn("Found", F.lit(2))
+    out = S.stage_secrets(spark, df, "").orderBy("doc_id").collect()
+    assert [r.text for r in out] == ["a [SECRET] b", None, "clean"]
+    assert out[0].n_chars == len("a [SECRET] b") and out[0].spans == 1 and out[0].Found == 2
+    assert list(out[0].asDict()) == df.columns
+
+
+def test_overlapping_spans_are_one_mask(spark):
+    t = "x AKIA" + "A" * 20 + " password=" + "deadbeef" * 4 + " y"
+    out = S.stage_secrets(spark, docs(spark, [t]), "").first()
+    assert out.text == "x [SECRET] [SECRET] y"
+
+
+def test_empty_table(spark, tmp_path):
+    assert S.query(spark, put(spark.createDataFrame([], DOCUMENTS), tmp_path)).count() == 0
