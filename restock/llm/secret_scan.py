@@ -13,7 +13,7 @@ Offsets are code points, ends exclusive.
   digits and signs alone (order, card and phone numbers) are no candidates.
 
 Both models are first-order chains over the identifier characters, with a start
-state and one pseudo-count a transition, trained by counting character pairs of
+state, backed off to single characters with one pseudo-count each, trained by counting character pairs of
 labelled samples (:func:`train`); the model is one row of counts for each pair,
 at most 2 x 66 x 66 rows whatever the samples' number. Empty samples give equal
 models, whose ratio is 0, so no span is added. Repeated rows are scanned each
@@ -52,6 +52,7 @@ MIN_LENGTH = 16
 TOKEN = rf"(?<!{CLASS}){CLASS}{{{MIN_LENGTH},}}"
 ORDINARY = rf"(?<!{CLASS}){CLASS}{{8,}}"
 MIN_LLR = 12.0
+BACKOFF = 8.0  # weight of the single-character model in each transition
 MASK = "[SECRET]"
 FIRST, WIDTH = 32, 96  # table rows and columns are ASCII 32..127; 32 is the start state
 
@@ -141,14 +142,17 @@ def train(labelled: DataFrame) -> list[float]:
         lambda a, b: F.struct(F.ascii(a).alias("a"), F.ascii(b).alias("b")))).alias("p"))
     counts = {(r.random, r.a, r.b): r.n for r in
               pairs.groupBy("random", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n")).collect()}
-    table_ = [0.0] * (WIDTH * WIDTH)
     codes = [ord(c) for c in ALPHABET]
-    for a in [FIRST, *codes]:
-        total = {y: sum(counts.get((y, a, b), 0) for b in codes) + len(codes) for y in (True, False)}
-        for b in codes:
-            table_[(a - FIRST) * WIDTH + b - FIRST] = (
-                math.log((counts.get((True, a, b), 0) + 1) / total[True])
-                - math.log((counts.get((False, a, b), 0) + 1) / total[False]))
+    logp: dict[bool, dict] = {}
+    for y in (True, False):
+        single = {b: 1 + sum(counts.get((y, a, b), 0) for a in [FIRST, *codes]) for b in codes}
+        total = sum(single.values())
+        row = {a: sum(counts.get((y, a, b), 0) for b in codes) for a in [FIRST, *codes]}
+        logp[y] = {(a, b): math.log((counts.get((y, a, b), 0) + BACKOFF * single[b] / total) / (row[a] + BACKOFF))
+                   for a in row for b in codes}
+    table_ = [0.0] * (WIDTH * WIDTH)
+    for (a, b), x in logp[True].items():
+        table_[(a - FIRST) * WIDTH + b - FIRST] = x - logp[False][a, b]
     return table_
 
 
