@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from restock.llm import secret_scan, simhash
+from restock.llm import (ann, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, suffix_dedup, topk)
+
+
+def _pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
     return {
+        "op1_quality_cotraining": quality.query,
+        "op2_reshard": reshard.query,
+        "op3_language_id": langid.query,
         "op4_simhash_dedup": simhash.query,
         "op5_secret_scan": secret_scan.query,
+        "op6_suffix_dedup": suffix_dedup.query,
+        "op7_packing": packing.query,
+        "op8_ann_forest": ann.query,
+        "op9_exact_topk": topk.query,
+        "op10_merge_dropout": merge_dropout.query,
+        "pipeline": _pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_topk": topk.ORACLE}
