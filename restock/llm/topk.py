@@ -71,6 +71,11 @@ def _long(x):
     return max(-(1 << 63), min((1 << 63) - 1, int(x)))
 
 
+def _within(total):
+    """Scores that fit a long; doubles are exact here and do."""
+    return np.clip(total, -(1 << 63), (1 << 63) - 1) if total.dtype == object else total
+
+
 def _batch(out, last):
     return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())],
                                       ["query_id", "vec_id", last])
@@ -85,7 +90,7 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str =
     def lists(batches):
         for ids, vs, qi, qs, _ in _pairs(batches, ()):
             part = node_scores(qs, vs, nodes)
-            total = sum(part)
+            total = _within(sum(part))
             out: list[list] = [[], [], []]
             for i, q in enumerate(qi):
                 other = np.flatnonzero(ids != q)
@@ -120,7 +125,7 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str =
                         some |= p[i] * len(part) >= least
                     entries &= some
                 own = np.flatnonzero(entries)
-                total = sum(p[i][own] for p in part)
+                total = _within(sum(p[i][own] for p in part))
                 if least is not None:
                     own, total = own[total >= least], total[total >= least]
                 top = best(ids[own], total, k)

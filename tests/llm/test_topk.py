@@ -17,8 +17,8 @@ def plain(rows, k=5):
     out = set()
     for q in {i for i, _ in ok if i % 50 == 0}:
         qv = next(v for i, v in ok if i == q)
-        s = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in ok if i != q and len(v) == len(qv))
-        out |= {(q, n + 1, i, max(-(1 << 63), min((1 << 63) - 1, -t))) for n, (t, i) in enumerate(s[:k])}
+        s = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(qv, v)))), i) for i, v in ok if i != q and len(v) == len(qv))
+        out |= {(q, n + 1, i, -t) for n, (t, i) in enumerate(s[:k])}
     return out
 
 
