@@ -2,36 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions we broadcast explicitly (region map, eligible FCs) are bounded by
-# the number of fulfilment centres. The bound is checked on the data before the
-# hint is applied; beyond it the join is left to the planner (sort-merge, or an
-# AQE runtime broadcast if the materialised side turns out small).
-DIM_ROW_BOUND = 10_000
-# vendors and short item lists: small in practice, but checked all the same
-SMALL_TABLE_ROW_BOUND = 200_000
+SALTS = 1024
 
-_checked: dict[tuple, bool] = {}
 
+def dimension(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a dimension of one row per fulfilment centre, region or
+    calendar day: its size is bounded by the business, not by the facts. All
+    other tables are left to Spark's byte threshold and to AQE."""
+    return F.broadcast(df)
 
-def reset_size_checks() -> None:
-    """Forget earlier size checks (a new run re-checks tables that may have grown)."""
-    _checked.clear()
 
-
-def fits_bound(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows: one small job (a limited
-    count) per distinct plan and session."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    ok = _checked.get(key)
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = ok
-    return ok
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if fits_bound(df, max_rows) else df
+def spread_nulls(key: Column, by: Column) -> Column:
+    """A left-join key in which null matches nothing, as ever, but is spread over
+    many values, so that the rows without a key don't meet in one task."""
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("string")))

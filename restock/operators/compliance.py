@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions.columns import is_false_or_null, safe_div, supplier_vendor
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
+from restock.functions.joins import dimension
 from restock.params import Params
 
 
@@ -16,8 +16,7 @@ def units_by_action(rec_file: DataFrame, products: DataFrame, vendors: DataFrame
     """Recommended units per action, private label and direct import excluded."""
     pr = products.where(is_false_or_null(F.col("private_label_flag"))).select(
         F.col("product_part_number").alias("item_id"))
-    v = bounded_broadcast(vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number"),
-                          SMALL_TABLE_ROW_BOUND)
+    v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
     return (rec_file.join(pr, "item_id", "left_semi")
             .join(v, supplier_vendor(F.col("supplier")) == v.vendor_number, "left_semi")
             .groupBy("action").agg(F.sum("proposed_qty").alias("total_ordered_units")))
@@ -37,9 +36,8 @@ def placed_orders(proc: DataFrame, products: DataFrame, vendors: DataFrame, loca
         & is_false_or_null(F.col("wms_closed_flag"))
         & is_false_or_null(F.col("ready_to_reconcile_flag")))
     return (f.join(products.select("product_key"), "product_key", "left_semi")
-            .join(bounded_broadcast(vendors.select("vendor_key", "vendor_number", "vendor_name"),
-                                    SMALL_TABLE_ROW_BOUND), "vendor_key")
-            .join(bounded_broadcast(locations.select("location_key", "location_code")), "location_key")
+            .join(vendors.select("vendor_key", "vendor_number", "vendor_name"), "vendor_key")
+            .join(dimension(locations.select("location_key", "location_code")), "location_key")
             .select(F.col("document_order_dttm").cast("date").alias("document_order_date"),
                     "purchaser_code", "document_number", "location_code", "vendor_number", "vendor_name",
                     "product_part_number", F.col("requested_delivery_dttm").alias("rdd"),
@@ -68,7 +66,7 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
                    p: Params) -> DataFrame:
     """C4: network average demand of the ordered items, over item-FC settings
     not supplied by an own FC and with a real supplier prefix."""
-    own = bounded_broadcast(
+    own = dimension(
         locations.where(F.coalesce(F.col("fulfillment_active"), F.lit(False))
                         & (F.col("company") == p.company) & (F.col("warehouse_type") == 0))
         .select(F.col("location_code").alias("_pfx")).distinct())
@@ -76,11 +74,17 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
     cil = (item_location.withColumn("_pfx", supplier_vendor(F.col("supplier")))
            .where(F.col("_pfx").isNotNull() & ~F.col("_pfx").isin("", "?"))
            .join(own, "_pfx", "left_anti"))
-    # aggregate per item first (partial + final), then keep the ordered items:
-    # the semi join shuffles one row per item instead of one per item x FC
-    per_item = cil.groupBy("item").agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty"))
-    return (per_item.join(items, "item", "left_semi")
-            .select(F.col("item").alias("product_part_number"), "network_avedemqty"))
+    # the ordered items are few: keep theirs first, then aggregate
+    return (cil.join(items, "item", "left_semi").groupBy(F.col("item").alias("product_part_number"))
+            .agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty")))
+
+
+def compliance_items(rollup: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
+    """The items of C5, without its other joins."""
+    own = products.where(is_false_or_null(F.col("private_label_flag"))).select("product_part_number")
+    v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
+    return (rollup.select("product_part_number", "vendor_number").join(v, "vendor_number", "left_semi")
+            .join(own, "product_part_number", "left_semi").select("product_part_number").distinct())
 
 
 def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, demand: DataFrame,
@@ -92,11 +96,11 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
     pr = products.select("product_part_number", F.col("merch_classification1").alias("mc1"),
                          F.col("abc_code").alias("product_abc_code"), "private_label_flag",
                          F.col("discontinued_flag").alias("product_discontinued_flag"))
-    v = bounded_broadcast(vendors.select("vendor_number", F.col("vendor_name").alias("_vname"),
-                                         F.col("direct_import_flag").alias("vendor_direct_import_flag")),
-                          SMALL_TABLE_ROW_BOUND)
+    v = vendors.select("vendor_number", F.col("vendor_name").alias("_vname"),
+                                         F.col("direct_import_flag").alias("vendor_direct_import_flag"))
     # one unit-of-measure row per item (the warehouse may list several units)
     uom = (item_uom.where(F.col("wh_id") == p.uom_warehouse)
+           .join(rollup.select(F.col("product_part_number").alias("item_number")), "item_number", "left_semi")
            .groupBy(F.col("item_number").alias("product_part_number"))
            .agg(F.max(F.col("cartonization_flag") == "NO").alias("_sioc")))
     # all placed orders are of one day, so only that day and the next are read
@@ -155,7 +159,7 @@ PERF_MEASURES = [("units_sold", "total_units_sold_t90", "avg_daily_units_sold"),
                  ("distinct_pdp_views", "total_distinct_pdp_views", "avg_pdp_views")]
 
 
-def trailing_performance(perf: DataFrame, comp: DataFrame, p: Params) -> DataFrame:
+def trailing_performance(perf: DataFrame, items: DataFrame, p: Params) -> DataFrame:
     """Sums and daily means over the trailing window for the compliance
     items. Each item is counted once (semi join), not once per order line."""
     end = p.as_of - dt.timedelta(days=p.performance_end_lag_days)
@@ -164,10 +168,9 @@ def trailing_performance(perf: DataFrame, comp: DataFrame, p: Params) -> DataFra
     aggs = []
     for src, tot, avg in PERF_MEASURES:
         aggs += [F.sum(src).alias(tot), F.avg(src).alias(avg)]
-    # aggregate the item x day facts per item first, then keep the compliance
-    # items: one shuffled row per item instead of one per item x day
-    return (f.groupBy("product_part_number").agg(*aggs)
-            .join(comp.select("product_part_number"), "product_part_number", "left_semi"))
+    # the compliance items are few: keep their days first, then aggregate
+    return (f.join(items.select("product_part_number"), "product_part_number", "left_semi")
+            .groupBy("product_part_number").agg(*aggs))
 
 
 REPORT_COLUMNS = [

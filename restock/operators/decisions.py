@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.functions.columns import clamp0, need_fraction, safe_div, supplier_vendor, week_start
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
+from restock.functions.joins import spread_nulls
 from restock.operators.proposals import _check, rank_windows
 from restock.params import Params
 
@@ -32,20 +32,20 @@ def ranked_need(tunnel: DataFrame, variant: str = "fillin") -> DataFrame:
     run = (Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("item", "region")
     counted = ~F.col("is_fillin") if variant == "fillin" else F.lit(True)
-    outl = F.sum(F.when(counted, clamp0(F.col("fc_outl_so99")))).over(whole)
-    ip = F.sum(F.when(counted, clamp0(F.col("fc_ip_so99")))).over(whole)
+    outl = F.sum(F.when(counted, clamp0(F.col("fc_outl")))).over(whole)
+    ip = F.sum(F.when(counted, clamp0(F.col("fc_ip")))).over(whole)
     n_counted = F.count(F.when(counted, F.lit(1))).over(whole)
     t = (tunnel.select(
         "*",
         F.row_number().over(wr).alias("fc_need_rank_in_region"),
         F.row_number().over(wn).alias("fc_need_rank_in_network"),
-        outl.alias("total_reg_outl_so99"), ip.alias("total_reg_ip_so99"), n_counted.alias("_n"))
+        outl.alias("total_reg_outl"), ip.alias("total_reg_ip"), n_counted.alias("_n"))
         .where(F.col("_n") > 0).drop("_n"))
     by_reg = (Window.partitionBy("item", "region").orderBy("fc_need_rank_in_region").rowsBetween(*run))
     by_net = (Window.partitionBy("item").orderBy("fc_need_rank_in_network").rowsBetween(*run))
     return t.select(
         "*",
-        (F.col("total_reg_outl_so99") - F.col("total_reg_ip_so99")).alias("total_reg_need_so99"),
+        (F.col("total_reg_outl") - F.col("total_reg_ip")).alias("total_reg_need"),
         F.sum("proposed_qty").over(by_reg).alias("region_proposed_qty_cummulative"),
         F.sum("proposed_qty").over(by_net).alias("network_proposed_qty_cummulative"))
 
@@ -68,7 +68,7 @@ def full_need(tunnel: DataFrame, excess_base: DataFrame, proj_state: DataFrame,
          .join(outl, "item", "left")
          .join(fin, ["item", "region", "_week"], "left"))
     oos_name = "projected_region_oos_erddweek" if variant == "fillin" else "projected_region_oos"
-    left = F.col("total_reg_need_so99") - F.col("region_proposed_qty_cummulative")
+    left = F.col("total_reg_need") - F.col("region_proposed_qty_cummulative")
     net_ip = F.col("oh_oo") + F.col("network_proposed_qty_cummulative")
     cols = ["item", "product_abc_code", "is_new_item",
             F.round("avg_daily_forecast", 3).alias("avg_daily_forecast"), "region", "location"]
@@ -79,8 +79,8 @@ def full_need(tunnel: DataFrame, excess_base: DataFrame, proj_state: DataFrame,
              (F.coalesce("projected_on_hand_region", F.lit(0.0)) <= 0).alias(oos_name),
              F.col("_fin").isNull().alias("projection_missing"),
              "projected_on_hand_region", "projected_on_order_region",
-             "fc_outl_so99", "fc_ip_so99", "fc_need_so99",
-             "total_reg_outl_so99", "total_reg_ip_so99", "total_reg_need_so99",
+             "fc_outl", "fc_ip", "fc_need",
+             "total_reg_outl", "total_reg_ip", "total_reg_need",
              "current_on_hand_network", "current_on_order_network",
              F.col("outl").alias("current_outl_network_calcd"),
              F.col("oh_oo").alias("current_ip_network_calcd"),
@@ -90,21 +90,21 @@ def full_need(tunnel: DataFrame, excess_base: DataFrame, proj_state: DataFrame,
              (net_ip - F.col("outl")).alias("current_network_excess_created_cummulative_calcd"),
              "fc_need_rank_in_region", "fc_need_rank_in_network",
              "region_proposed_qty_cummulative", "network_proposed_qty_cummulative",
-             left.alias("region_need_left_after_order_cummulative_so99")]
+             left.alias("region_need_left_after_order_cummulative")]
     return j.select(*cols)
 
 
 def with_need_fraction(full: DataFrame) -> DataFrame:
     """R22"""
     return full.withColumn(
-        "fc_region_need_percent_so99",
-        need_fraction(F.col("region_need_left_after_order_cummulative_so99"), F.col("proposed_fc_qty")))
+        "fc_region_need_percent",
+        need_fraction(F.col("region_need_left_after_order_cummulative"), F.col("proposed_fc_qty")))
 
 
 def decision(variant: str, p: Params):
     """The action ladder as one CASE expression."""
     _check(variant)
-    frac = F.col("fc_region_need_percent_so99")
+    frac = F.col("fc_region_need_percent")
     rank1 = F.col("fc_need_rank_in_region") == 1
     ladder = F.when(F.col("supplier").isNull(), F.lit(REJECT_NO_PROPOSAL))
     if variant == "fillin":
@@ -114,7 +114,7 @@ def decision(variant: str, p: Params):
                   .when(oos & rank1, F.lit(APPROVE)))
     else:
         oos = F.col("projected_region_oos")
-        ladder = ladder.when(oos & (F.col("region_need_left_after_order_cummulative_so99") < 0) & rank1,
+        ladder = ladder.when(oos & (F.col("region_need_left_after_order_cummulative") < 0) & rank1,
                              F.lit(APPROVE))
     return (ladder.when(frac < p.approve_fraction, F.lit(REJECT))
             .when(frac >= p.approve_fraction, F.lit(APPROVE)))
@@ -131,20 +131,20 @@ def recommend(full: DataFrame, vendors: DataFrame, item_attrs: DataFrame, p: Par
     rows (proposal present, not private label, not direct import, buyer listed)."""
     _check(variant)
     n = with_need_fraction(full)
-    v = bounded_broadcast(vendors.select(
+    v = vendors.select(
         "vendor_number", F.col("purchaser_code").alias("supply_planner"), "vendor_name",
         F.col("distribution_method").alias("vendor_distribution_method"),
-        F.col("direct_import_flag").alias("vendor_direct_import_flag")), SMALL_TABLE_ROW_BOUND)
+        F.col("direct_import_flag").alias("vendor_direct_import_flag"))
     attrs = item_attrs.select(F.col("product_part_number").alias("item"), "mc1",
                               F.col("product_abc_code").alias("_abc"),
                               F.col("is_new_item").alias("_new"), "private_label_flag")
-    j = (n.join(v, supplier_vendor(F.col("supplier")) == v.vendor_number, "left")
+    j = (n.join(v, spread_nulls(supplier_vendor(F.col("supplier")), F.concat_ws("/", "item", "location")) == v.vendor_number, "left")
          .join(attrs, "item"))
-    left = F.col("region_need_left_after_order_cummulative_so99")
+    left = F.col("region_need_left_after_order_cummulative")
     left_shown = F.when(left < 0, F.lit(0.0)).otherwise(F.round(left, 2))
     common_head = ["supply_planner", "mc1", decision(variant, p).alias("action_"), "item", "region", "location"]
-    measures = [F.round("fc_need_so99", 2).alias("fc_need_so99"), "proposed_fc_qty",
-                F.round("fc_region_need_percent_so99", 2).alias("fc_region_need_percent_so99"),
+    measures = [F.round("fc_need", 2).alias("fc_need"), "proposed_fc_qty",
+                F.round("fc_region_need_percent", 2).alias("fc_region_need_percent"),
                 "region_proposed_qty_cummulative"]
     if variant == "fillin":
         cols = common_head + [
@@ -152,11 +152,11 @@ def recommend(full: DataFrame, vendors: DataFrame, item_attrs: DataFrame, p: Par
             "avg_daily_forecast", "proposal_type", "is_fillin", "supplier", "vendor_name",
             "vendor_distribution_method", "release_date", "erdd", "moq",
             "projected_region_oos_erddweek"] + measures + [
-            F.round("total_reg_outl_so99", 3).alias("total_reg_ss_so99"),
-            F.round("total_reg_ip_so99", 3).alias("total_reg_ip_so99"),
-            F.round("total_reg_need_so99", 3).alias("total_reg_need_so99"),
+            F.round("total_reg_outl", 3).alias("total_reg_ss"),
+            F.round("total_reg_ip", 3).alias("total_reg_ip"),
+            F.round("total_reg_need", 3).alias("total_reg_need"),
             "fc_need_rank_in_region",
-            left_shown.alias("region_need_left_after_order_cummulative_so99"),
+            left_shown.alias("region_need_left_after_order_cummulative"),
             F.when(left > 0, F.lit(0.0)).otherwise(F.abs(F.round(left, 2)))
             .alias("region_excess_units_created_from_order_cummulative"),
             high_moq(p).alias("has_high_moq")]
@@ -165,11 +165,11 @@ def recommend(full: DataFrame, vendors: DataFrame, item_attrs: DataFrame, p: Par
         "private_label_flag", F.col("_abc").alias("product_abc_code"), F.col("_new").alias("is_new_item"),
         "avg_daily_forecast", "supplier", "vendor_name", "vendor_distribution_method",
         "vendor_direct_import_flag", "release_date", "erdd", "moq", "projected_region_oos"] + measures + [
-        F.round("total_reg_outl_so99", 3).alias("total_reg_outl_so99"),
-        F.round("total_reg_ip_so99", 3).alias("total_reg_ip_so99"),
-        F.round("total_reg_need_so99", 3).alias("total_reg_need_so99"),
+        F.round("total_reg_outl", 3).alias("total_reg_outl"),
+        F.round("total_reg_ip", 3).alias("total_reg_ip"),
+        F.round("total_reg_need", 3).alias("total_reg_need"),
         "fc_need_rank_in_region",
-        left_shown.alias("region_need_left_after_order_cummulative_so99"),
+        left_shown.alias("region_need_left_after_order_cummulative"),
         high_moq(p).alias("has_high_moq")]
     return (j.where(F.col("supplier").isNotNull()
                     & ~F.coalesce("private_label_flag", F.lit(False))
@@ -199,21 +199,21 @@ def network_measures(full: DataFrame, net_need: DataFrame, net_proj: DataFrame)
          .withColumn("_week", week_start("erdd"))
          .join(np_, ["item", "_week"], "left"))
     cum = F.col("network_proposed_qty_cummulative")
-    left = F.col("total_network_need_so99") - cum
-    ip = F.col("total_network_ip_so99") + cum
+    left = F.col("total_network_need") - cum
+    ip = F.col("total_network_ip") + cum
     excess_dos = F.when(left >= 0, F.lit(0.0)).otherwise(
-        safe_div(-(F.col("total_network_need_so99") - left), F.col("avg_daily_forecast")))
+        safe_div(-(F.col("total_network_need") - left), F.col("avg_daily_forecast")))
     ordered_dos = safe_div(cum, F.col("avg_daily_forecast"))
     return j.select(
         "item", "region", "location", "fc_need_rank_in_network", "proposed_fc_qty",
-        "total_network_outl_so99", "total_network_ip_so99", "total_network_need_so99",
+        "total_network_outl", "total_network_ip", "total_network_need",
         cum.alias("network_proposed_qty_cummulative"),
-        left.alias("network_need_left_after_order_cummulative_so99"),
-        ip.alias("current_network_ip_with_proposed_qty_cummulative_so99"),
-        (ip - F.col("total_network_outl_so99")).alias("current_network_excess_created_cummulative_so99"),
-        need_fraction(left, F.col("proposed_fc_qty")).alias("fc_network_need_percent_cummulative_so99"),
-        excess_dos.alias("network_excess_created_from_order_cummulative_dos_so99"),
-        ordered_dos.alias("proposed_ordered_units_cummulative_dos_so99"),
+        left.alias("network_need_left_after_order_cummulative"),
+        ip.alias("current_network_ip_with_proposed_qty_cummulative"),
+        (ip - F.col("total_network_outl")).alias("current_network_excess_created_cummulative"),
+        need_fraction(left, F.col("proposed_fc_qty")).alias("fc_network_need_percent_cummulative"),
+        excess_dos.alias("network_excess_created_from_order_cummulative_dos"),
+        ordered_dos.alias("proposed_ordered_units_cummulative_dos"),
         F.when(F.abs(excess_dos) <= 30, "0-30").otherwise("31+")
         .alias("network_excess_created_cummulative_dos_bucket"),
         F.when(F.abs(ordered_dos) <= 60, "0-60").otherwise("61+")

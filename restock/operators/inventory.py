@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions.columns import is_true
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
+from restock.functions.joins import dimension
 from restock.params import Params
 
 
@@ -31,9 +31,9 @@ def eligible_fcs(locations: DataFrame, p: Params) -> DataFrame:
 
 def eligible_fc_regions(locations: DataFrame, region_map: DataFrame, p: Params) -> DataFrame:
     """Eligible FCs that are in the region map: (location_key, location_code, region).
-    Bounded by the number of FCs, so it is broadcast after a size check."""
-    return bounded_broadcast(
-        eligible_fcs(locations, p).join(bounded_broadcast(region_map), "location_code")
+    Bounded by the number of FCs, so it is broadcast."""
+    return dimension(
+        eligible_fcs(locations, p).join(dimension(region_map), "location_code")
         .select("location_key", "location_code", "region"))
 
 
@@ -52,8 +52,8 @@ def inventory_base(snapshot: DataFrame, products: DataFrame, locations: DataFram
 def item_attributes(inv_base: DataFrame, products: DataFrame, new_item_ids: DataFrame) -> DataFrame:
     """Attributes of the items in the inventory base, with a new-item flag."""
     items = inv_base.select("product_part_number").distinct()
-    flags = bounded_broadcast(new_item_ids.select(F.col("item_id").alias("product_part_number")).distinct()
-                              .withColumn("_new", F.lit(True)), SMALL_TABLE_ROW_BOUND)
+    flags = (new_item_ids.select(F.col("item_id").alias("product_part_number")).distinct()
+             .withColumn("_new", F.lit(True)))
     return (items.join(products, "product_part_number")
             .join(flags, "product_part_number", "left")
             .select("product_part_number",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions.columns import is_false_or_null
-from restock.functions.joins import bounded_broadcast
+from restock.functions.joins import dimension
 from restock.operators.inventory import eligible_fcs
 from restock.params import Params
 
@@ -27,7 +27,7 @@ def instock_base(snapshot: DataFrame, region_map: DataFrame, lifecycle: DataFram
           .select(F.col("snapshot_date").alias("snapshot_dt"), "product_part_number", "discontinued_flag"))
     tr = tracked_items(rec_file).select(F.col("item_id").alias("product_part_number"),
                                         F.lit(True).alias("_hg"))
-    return (s.join(bounded_broadcast(region_map), "location_code")
+    return (s.join(dimension(region_map), "location_code")
             .join(lc, ["snapshot_dt", "product_part_number"])
             .join(tr, "product_part_number", "left")
             .select(F.col("snapshot_dt").alias("snapshot_date"), "product_part_number", "location_code",
@@ -45,7 +45,7 @@ def oos_units(snapshot: DataFrame, region_map: DataFrame, lifecycle: DataFrame,
     snapshot has one row per day and item (a filter here) and the tracked flag
     is a function of the item."""
     s = (snapshot.where(F.col("snapshot_dt").between(F.lit(p.kpi_start), F.lit(p.as_of - dt.timedelta(days=1))))
-         .join(bounded_broadcast(region_map), "location_code"))
+         .join(dimension(region_map), "location_code"))
     keys = ["snapshot_dt", "product_part_number"] + (["region"] if by_region else [])
     units = s.groupBy(*keys).agg(F.sum(F.coalesce("sellable_quantity", F.lit(0))).alias("sellable_units"))
     lc = (lifecycle.where(is_false_or_null(F.col("discontinued_flag")) & is_false_or_null(F.col("dropship_flag")))
@@ -59,29 +59,19 @@ def oos_units(snapshot: DataFrame, region_map: DataFrame, lifecycle: DataFrame,
 
 
 def region_oos_from_snapshot(snapshot, region_map, lifecycle, rec_file, p: Params) -> DataFrame:
-    """K2 computed with pre-aggregation (same result as ``region_oos(instock_base(...))``)."""
+    """K2 computed with pre-aggregation."""
     u = oos_units(snapshot, region_map, lifecycle, rec_file, p, by_region=True)
     return u.select("snapshot_date", "product_part_number", "hg_ordered_item", "region",
                     F.when(F.col("sellable_units") <= 0, 1).otherwise(0).alias("region_oos"))
 
 
 def network_oos_from_snapshot(snapshot, region_map, lifecycle, rec_file, p: Params) -> DataFrame:
-    """K4 computed with pre-aggregation (same result as ``network_oos(instock_base(...))``)."""
+    """K4 computed with pre-aggregation."""
     u = oos_units(snapshot, region_map, lifecycle, rec_file, p, by_region=False)
     return u.select("snapshot_date", "product_part_number", "hg_ordered_item",
                     F.when(F.col("sellable_units") <= 0, 1).otherwise(0).alias("network_oos"))
 
 
-def _oos(col_name: str):
-    return F.when(F.coalesce(F.sum("sellable_units"), F.lit(0)) <= 0, 1).otherwise(0).alias(col_name)
-
-
-def region_oos(base: DataFrame) -> DataFrame:
-    """K2"""
-    return base.groupBy("snapshot_date", "product_part_number", "hg_ordered_item", "region").agg(
-        _oos("region_oos"))
-
-
 def region_oos_rate(flags: DataFrame) -> DataFrame:
     """K3"""
     return flags.groupBy("snapshot_date", "region", "hg_ordered_item").agg(
@@ -90,12 +80,6 @@ def region_oos_rate(flags: DataFrame) -> DataFrame:
         F.round(F.sum("region_oos") / F.count(F.lit(1)), 4).alias("region_oos_percentage"))
 
 
-def network_oos(base: DataFrame) -> DataFrame:
-    """K4"""
-    return base.groupBy("snapshot_date", "product_part_number", "hg_ordered_item").agg(
-        _oos("network_oos"))
-
-
 def network_oos_rate(flags: DataFrame) -> DataFrame:
     """K5"""
     return flags.groupBy("snapshot_date", "hg_ordered_item").agg(
@@ -107,22 +91,32 @@ def network_oos_rate(flags: DataFrame) -> DataFrame:
 def _eligible_lines(order_line: DataFrame, orders: DataFrame, locations: DataFrame,
                     products: DataFrame, p: Params) -> DataFrame:
     o = orders.where(~F.col("order_status").isin(list(p.excluded_order_status))).select("order_key")
-    fcs = bounded_broadcast(eligible_fcs(locations, p)).select(
+    fcs = dimension(eligible_fcs(locations, p)).select(
         F.col("location_key").alias("fulfillment_center_key"), "location_code")
     return (order_line.join(o, "order_key", "left_semi")
             .join(fcs, "fulfillment_center_key")
             .join(products.select("product_key", "product_part_number"), "product_key"))
 
 
+def _released_between(order_line: DataFrame, locations: DataFrame, p: Params, start: dt.date, end: dt.date) -> DataFrame:
+    """All lines of the orders that have a line released in the period at an
+    eligible FC. An order whose first eligible release is in the period has such
+    a line, so nothing is lost; the rest of the history is not aggregated."""
+    fcs = dimension(eligible_fcs(locations, p)).select(F.col("location_key").alias("fulfillment_center_key"))
+    some = (order_line.where(F.col("released_dttm").cast("date").between(F.lit(start), F.lit(end)))
+            .join(fcs, "fulfillment_center_key", "left_semi").select("order_key"))
+    return order_line.join(some, "order_key", "left_semi")
+
+
 def split_orders(order_line: DataFrame, orders: DataFrame, locations: DataFrame,
                  products: DataFrame, p: Params) -> DataFrame:
     """K6: orders first released in the last ``split_window_days`` days, split
     when their eligible lines ship from more than one FC. (More than one
     distinct FC is tested as min <> max: one aggregation pass, no distinct
     expansion.)"""
-    ln = _eligible_lines(order_line, orders, locations, products, p)
     end = p.as_of - dt.timedelta(days=1)
     start = p.as_of - dt.timedelta(days=p.split_window_days)
+    ln = _eligible_lines(_released_between(order_line, locations, p, start, end), orders, locations, products, p)
     return (ln.groupBy("order_key")
             .agg(F.min(F.col("released_dttm").cast("date")).alias("order_released_date"),
                  F.when(F.min("location_code") != F.max("location_code"), 1).otherwise(0).alias("is_split"))
@@ -156,7 +150,8 @@ def order_zone(order_line: DataFrame, orders: DataFrame, shipments: DataFrame, l
                products: DataFrame, rec_file: DataFrame, p: Params) -> DataFrame:
     """Per order, tracked-item flag, first release day and mean ship zone
     of its eligible lines; orders released from ``zone_start`` to yesterday."""
-    ln = _eligible_lines(order_line, orders, locations, products, p).join(shipments, "order_line_id")
+    recent = _released_between(order_line, locations, p, p.zone_start, p.as_of - dt.timedelta(days=1))
+    ln = _eligible_lines(recent, orders, locations, products, p).join(shipments, "order_line_id")
     tr = tracked_items(rec_file).select(F.col("item_id").alias("product_part_number"),
                                         F.lit(1).alias("_hit"))
     return (ln.join(tr, "product_part_number", "left").groupBy("order_key")

@@ -91,12 +91,15 @@ def projected_state(reg_base: DataFrame, item_attrs: DataFrame, mode: str = "flo
                     F.coalesce("avg_daily_forecast_week", F.lit(0.0)).alias("avg_daily_forecast_week")))
 
 
-def network_projection(reg_base: DataFrame, net_weekly_fc: DataFrame, net_weekly_oo: DataFrame,
-                       mode: str = "floor") -> DataFrame:
-    """Projection at network level over the distinct item-weeks of the
-    regional base."""
-    rows = (reg_base.where(F.col("week").isNotNull())
-            .select("product_part_number", "week", "current_on_hand_network").distinct()
+def network_projection(weekly_fc: DataFrame, reg_on_hand: DataFrame, net_on_hand: DataFrame, excess_base: DataFrame,
+                       net_weekly_fc: DataFrame, net_weekly_oo: DataFrame, p: Params, mode: str = "floor") -> DataFrame:
+    """Projection at network level over the item-weeks of the regional base:
+    weeks with a forecast in a region that has a stock row, of items in the
+    target snapshot."""
+    o = excess_base.where(F.col("snapshot_date") == F.lit(p.outl_day)).select("product_part_number")
+    rows = (weekly_fc.join(reg_on_hand.select(*ITEM_REGION), ITEM_REGION, "left_semi")
+            .select("product_part_number", "week").distinct()
+            .join(net_on_hand, "product_part_number").join(o, "product_part_number", "left_semi")
             .join(net_weekly_fc, ["product_part_number", "week"], "left")
             .join(net_weekly_oo, ["product_part_number", "week"], "left"))
     return project(rows, ["product_part_number"], "current_on_hand_network", "forecast_network",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.functions.columns import clamp0, is_false_or_null, prefix, supplier_vendor
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
+from restock.functions.joins import dimension, spread_nulls
 from restock.params import Params
 
 VARIANTS = ("base", "fillin")
@@ -32,7 +32,7 @@ def proposal_base(item_location: DataFrame, region_map: DataFrame, products: Dat
     any), its vendor, and the earliest due date of the item in the region.
     Self transfers (supplier equal to an FC code) and discontinued items drop."""
     _check(variant)
-    rm = bounded_broadcast(region_map)
+    rm = dimension(region_map)
     cil = (item_location.join(rm, item_location.location == rm.location_code)
            .join(products.select(F.col("product_part_number").alias("item"), "discontinued_flag"), "item")
            .where(is_false_or_null(F.col("discontinued_flag"))))
@@ -49,13 +49,8 @@ def proposal_base(item_location: DataFrame, region_map: DataFrame, products: Dat
     j = cil.join(prop, cond, "left")
     # self transfers: supplier equal to an FC code (null supplier = no proposal, kept)
     j = j.join(rm.select(F.col("location_code").alias("p_supplier")), "p_supplier", "left_anti")
-    v = bounded_broadcast(vendors.select("vendor_number", "vendor_name"), SMALL_TABLE_ROW_BOUND)
-    j = j.join(v, supplier_vendor(F.col("p_supplier")) == v.vendor_number, "left")
-    # Partition proposal rows by item once: the regional window below, the
-    # stock-tunnel match, the need ranks and running sums and the lookups of
-    # R19 are all keyed by item (plus other columns), so with
-    # spark.sql.requireAllClusterKeysForCoPartition=false they reuse it.
-    j = j.repartition("item")
+    v = vendors.select("vendor_number", "vendor_name")
+    j = j.join(v, spread_nulls(supplier_vendor(F.col("p_supplier")), F.concat_ws("/", "item", "location")) == v.vendor_number, "left")
     w = Window.partitionBy("item", "region")
     if variant == "base":
         min_due = F.min("duedate").over(w)
@@ -89,8 +84,8 @@ def fc_need(props: DataFrame, stock_tunnel: DataFrame, variant: str = "fillin")
         cols += ["proposal_type", (F.col("proposal_type") == "2").alias("is_fillin")]
     cols += ["supplier", "vendor_name", "review_period", "moq", "prundate",
              F.coalesce("duedate", "min_erdd_region").alias("duedate"), "min_erdd_region", "region",
-             "status", outl.alias("fc_outl_so99"), ip.alias("fc_ip_so99"),
-             (outl - ip).alias("fc_need_so99"), "tunn_fc"]
+             "status", outl.alias("fc_outl"), ip.alias("fc_ip"),
+             (outl - ip).alias("fc_need"), "tunn_fc"]
     return j.select(*cols)
 
 
@@ -104,11 +99,14 @@ def unmatched_proposal_rows(props: DataFrame) -> DataFrame:
 
 
 def rank_windows(variant: str) -> tuple[Window, Window]:
-    """(regional, network) orderings of the need rank. Ties are broken by FC so
-    ranks and running sums are deterministic (one row per item x FC)."""
-    reg_order = ([F.col("proposal_type").asc()] if variant == "fillin" else []) + \
-        [F.col("fc_need_so99").desc(), F.col("location").asc()]
-    net_order = [F.col("fc_need_so99").desc(), F.col("location").asc()]
+    """(regional, network) orderings of the need rank. An FC may have several
+    proposals of one item (primary and fill-in, several suppliers or lots), so
+    ties go by FC, supplier, due date, quantity and status, nulls last; rows that
+    are equal in all of these are interchangeable."""
+    ties = [F.col(c).asc_nulls_last() for c in ("location", "supplier", "duedate", "proposed_qty", "status")]
+    need = [F.col("fc_need").desc_nulls_last(), *ties]
+    reg_order = ([F.col("proposal_type").asc_nulls_last()] if variant == "fillin" else []) + need
+    net_order = need
     return (Window.partitionBy("item", "region").orderBy(*reg_order),
             Window.partitionBy("item").orderBy(*net_order))
 
@@ -126,15 +124,15 @@ def region_need(tunnel: DataFrame, variant: str = "fillin") -> DataFrame:
     _check(variant)
     t = tunnel.where(~F.col("is_fillin")) if variant == "fillin" else tunnel
     return t.groupBy("item", "region").agg(
-        F.sum(clamp0(F.col("fc_outl_so99"))).alias("total_reg_outl_so99"),
-        F.sum(clamp0(F.col("fc_ip_so99"))).alias("total_reg_ip_so99"),
-    ).withColumn("total_reg_need_so99", F.col("total_reg_outl_so99") - F.col("total_reg_ip_so99"))
+        F.sum(clamp0(F.col("fc_outl"))).alias("total_reg_outl"),
+        F.sum(clamp0(F.col("fc_ip"))).alias("total_reg_ip"),
+    ).withColumn("total_reg_need", F.col("total_reg_outl") - F.col("total_reg_ip"))
 
 
 def network_need(reg_need: DataFrame) -> DataFrame:
     """D3: network totals = sum of the clamped regional totals."""
     return reg_need.groupBy("item").agg(
-        F.sum(clamp0(F.col("total_reg_outl_so99"))).alias("total_network_outl_so99"),
-        F.sum(clamp0(F.col("total_reg_ip_so99"))).alias("total_network_ip_so99"),
-    ).withColumn("total_network_need_so99",
-                 F.col("total_network_outl_so99") - F.col("total_network_ip_so99"))
+        F.sum(clamp0(F.col("total_reg_outl"))).alias("total_network_outl"),
+        F.sum(clamp0(F.col("total_reg_ip"))).alias("total_network_ip"),
+    ).withColumn("total_network_need",
+                 F.col("total_network_outl") - F.col("total_network_ip"))

@@ -12,12 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from restock.functions.columns import is_false_or_null, supplier_vendor
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, bounded_broadcast
+from restock.functions.joins import dimension
 from restock.session import staging_path
 
 
@@ -33,18 +33,27 @@ def outl_bad_dates(excess_base: DataFrame) -> DataFrame:
             .where(F.coalesce(F.col("ss"), F.lit(0.0)) == 0).select("snapshot_date"))
 
 
-def repair_plan(excess_base: DataFrame, bad: DataFrame | None = None) -> DataFrame:
-    """(bad_date, source_date): each bad day takes the last good day before it.
-    Works on the distinct-day table (one row per calendar day), never on rows."""
-    days = excess_base.groupBy("snapshot_date").agg(F.sum("ss").alias("ss"))
-    bad = bad if bad is not None else outl_bad_dates(excess_base)
-    flagged = (days.join(bad.select("snapshot_date", F.lit(True).alias("_bad")), "snapshot_date", "left")
-               .withColumn("_good", F.when(F.col("_bad").isNull(), F.col("snapshot_date"))))
-    w = Window.orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
-    # a single window over the day table: at most one row per calendar day
-    return (flagged.select("snapshot_date", "_bad", F.max("_good").over(w).alias("source_date"))
-            .where(F.col("_bad").isNotNull() & F.col("source_date").isNotNull())
-            .select(F.col("snapshot_date").alias("bad_date"), "source_date"))
+def repair_plan(excess_base: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """(bad_date, source_date): each bad day - the listed days, or without a list
+    the days of zero safety stock - takes the last good day before it; null if
+    there is none. Good: not listed, and not zero either. One aggregate over the
+    rows; the rest works on the day table (one row per calendar day)."""
+    days = excess_base.groupBy("snapshot_date").agg((F.coalesce(F.sum("ss"), F.lit(0.0)) == 0).alias("_zero"))
+    if listed is None:
+        days = days.withColumn("_bad", F.col("_zero"))
+    else:
+        marked = listed.select("snapshot_date").distinct().withColumn("_listed", F.lit(True))
+        days = days.join(dimension(marked), "snapshot_date", "left").withColumn("_bad", F.col("_listed").isNotNull())
+    bad = days.where("_bad").select(F.col("snapshot_date").alias("bad_date"), F.lit(1).alias("_one"))
+    good = days.where("not _bad and not _zero").select(F.col("snapshot_date").alias("_good"), F.lit(1).alias("_one"))
+    return (bad.join(dimension(good), "_one", "left")
+            .groupBy("bad_date").agg(F.max(F.when(F.col("_good") < F.col("bad_date"), F.col("_good"))).alias("source_date")))
+
+
+def unrepaired_days(plan: DataFrame) -> DataFrame:
+    """The bad days of a plan that have no earlier good day: their rows stay as
+    they are, and someone should know."""
+    return plan.where("source_date is null").select(F.col("bad_date").alias("snapshot_date"))
 
 
 def latest_good_snapshot(excess_base: DataFrame, as_of: dt.date) -> dt.date | None:
@@ -59,43 +68,49 @@ def latest_good_snapshot(excess_base: DataFrame, as_of: dt.date) -> dt.date | No
 
 
 def drop_snapshots(excess_base: DataFrame, dates: DataFrame) -> DataFrame:
-    """The table without the listed days (a day list: size-checked broadcast)."""
-    return excess_base.join(bounded_broadcast(dates.select("snapshot_date")), "snapshot_date", "left_anti")
+    """The table without the listed days (a day list)."""
+    return excess_base.join(dimension(dates.select("snapshot_date")), "snapshot_date", "left_anti")
 
 
 def replacement_rows(excess_base: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows of each source day re-dated to the bad day, exact duplicates
     removed (all other columns unchanged)."""
     cols = [c for c in excess_base.columns if c != "snapshot_date"]
-    return (excess_base.join(bounded_broadcast(plan.withColumnRenamed("source_date", "snapshot_date")),
+    return (excess_base.join(dimension(plan.withColumnRenamed("source_date", "snapshot_date")),
                              "snapshot_date")
             .select(F.col("bad_date").alias("snapshot_date"), *cols).distinct())
 
 
-def outl_repair(excess_base: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+def outl_repair(excess_base: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """O3: the repaired table = untouched days + replacement rows of bad days.
-    Bad days without an earlier good day are dropped (nothing to copy)."""
-    bad = bad if bad is not None else outl_bad_dates(excess_base)
-    plan = repair_plan(excess_base, bad)
-    kept = drop_snapshots(excess_base, bad)
+    Bad days without an earlier good day stay (see ``unrepaired_days``)."""
+    plan = repair_plan(excess_base, listed).where("source_date is not null")
+    kept = drop_snapshots(excess_base, plan.select(F.col("bad_date").alias("snapshot_date")))
     return kept.unionByName(replacement_rows(excess_base, plan))
 
 
 def repair_table(spark: SparkSession, path: str, dates: Iterable[dt.date] | None = None) -> DataFrame:
     """Repair a parquet table in place: stage replacement rows, then overwrite
-    only the bad days' partitions."""
+    only the repaired days' partitions. Returns the replacement rows."""
     eb = spark.read.parquet(path)
-    bad = (outl_bad_dates(eb) if dates is None else
-           spark.createDataFrame([(d,) for d in dates], "snapshot_date date"))
-    plan = repair_plan(eb, bad)
+    listed = None if dates is None else spark.createDataFrame([(d,) for d in dates], "snapshot_date date")
+    plan = repair_plan(eb, listed).where("source_date is not null")
     stage = staging_path(spark, "outl-repair")
     replacement_rows(eb, plan).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(eb.schema).parquet(stage)
     (staged.select(*eb.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
     return staged
 
 
+def delete_days(spark: SparkSession, path: str, dates: Iterable[dt.date]) -> None:
+    """S8 in place: remove the partitions of the listed days from a table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in dates:
+        fs.delete(folder(f"{path}/snapshot_date={d.isoformat()}"), True)
+
+
 # -- S6: persistent recommendation table ---------------------------------------
 
 RECOMMENDATION_SCHEMA = T.StructType([
@@ -118,9 +133,9 @@ RECOMMENDATION_SCHEMA = T.StructType([
     T.StructField("erdd", T.DateType()),
     T.StructField("moq", T.IntegerType()),
     T.StructField("projected_region_oos", T.BooleanType()),
-    T.StructField("fc_need_so99", T.DecimalType(18, 6)),
+    T.StructField("fc_need", T.DecimalType(18, 6)),
     T.StructField("proposed_fc_qty", T.IntegerType()),
-    T.StructField("fc_region_need_percent_so99", T.DecimalType(18, 6)),
+    T.StructField("fc_region_need_percent", T.DecimalType(18, 6)),
     T.StructField("region_proposed_cummulative_quantity", T.IntegerType()),
     T.StructField("total_region_ss", T.DecimalType(18, 6)),
     T.StructField("total_region_ip", T.DecimalType(18, 6)),
@@ -132,10 +147,10 @@ RECOMMENDATION_SCHEMA = T.StructType([
 
 _BASE_TO_TABLE = {
     "region_proposed_qty_cummulative": "region_proposed_cummulative_quantity",
-    "total_reg_outl_so99": "total_region_ss",
-    "total_reg_ip_so99": "total_region_ip",
-    "total_reg_need_so99": "total_region_need",
-    "region_need_left_after_order_cummulative_so99": "region_need_left_after_ordering_cummulative",
+    "total_reg_outl": "total_region_ss",
+    "total_reg_ip": "total_region_ip",
+    "total_reg_need": "total_region_need",
+    "region_need_left_after_order_cummulative": "region_need_left_after_ordering_cummulative",
     "has_high_moq": "item_moq_more_than_60dos",
 }
 
@@ -156,6 +171,26 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
      .partitionBy("snapshot_date").parquet(path))
 
 
+def append_history(rows: DataFrame, path: str) -> int:
+    """Append rows to a stored table without touching the other rows of
+    their days; rows that are there already are not added again, so a rerun adds
+    nothing. Returns the number of rows added."""
+    spark = rows.sparkSession
+    new = rows
+    if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(
+            spark._jvm.org.apache.hadoop.fs.Path(path)):
+        there = spark.read.parquet(path).select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"t.{c}")) for c in rows.columns]
+        new = rows.alias("n").join(there.alias("t"), same, "left_anti")
+    stage = staging_path(spark, "history-append")
+    new.write.parquet(stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    n = staged.count()
+    if n:
+        staged.write.mode("append").partitionBy("snapshot_date").parquet(path)
+    return n
+
+
 # -- S7: historical recommendation files -------------------------------------------
 
 def history_import(hist: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -163,7 +198,6 @@ def history_import(hist: DataFrame, products: DataFrame, vendors: DataFrame) ->
     supplier code before '-') is not a direct importer."""
     pr = products.where(is_false_or_null(F.col("private_label_flag"))).select(
         F.col("product_part_number").alias("item"))
-    v = bounded_broadcast(vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number"),
-                          SMALL_TABLE_ROW_BOUND)
+    v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
     return (hist.join(pr, "item", "left_semi")
             .join(v, supplier_vendor(F.col("supplier")) == v.vendor_number, "left_semi"))

@@ -20,22 +20,20 @@ from restock.operators import kpi as K
 from restock.operators import onorder as OO
 from restock.operators import projection as PJ
 from restock.operators import proposals as PR
-from restock.functions.joins import SMALL_TABLE_ROW_BOUND, fits_bound
 from restock.operators import snapshots as S
 from restock.params import Params
 
 
 class ItemScope:
-    """The logical inputs of the regional base restricted to a small item set
-    with broadcast semi joins, applied before any aggregation. Exact for every
+    """The logical inputs of the regional base restricted to an item set with
+    semi joins, applied before any aggregation. Exact for every
     per-item result (the regional base, the projection and the item
     attributes depend only on the item's own rows)."""
 
     def __init__(self, src, items: DataFrame, products: DataFrame):
         self.src, self.p = src, getattr(src, "p", None)
-        self._items = F.broadcast(items)                      # product_part_number, size-checked by caller
-        self._keys = F.broadcast(products.join(self._items, "product_part_number", "left_semi")
-                                 .select("product_key"))
+        self._items = items                                   # product_part_number
+        self._keys = products.join(self._items, "product_part_number", "left_semi").select("product_key")
 
     def __getattr__(self, name):
         return getattr(self.src, name)
@@ -68,6 +66,8 @@ class OperatorChain:
         if self.p.outl_date_rule == "latest_good" and self.p.outl_date is None:
             # one small aggregate over the day totals; a single date comes back
             good = S.latest_good_snapshot(src.excess_base, self.p.as_of)
+            if good is None:
+                raise ValueError(f"no good target snapshot on or before {self.p.as_of}")
             self.p = self.p.with_(outl_date=good)
         elif self.p.outl_date_rule not in ("as_of", "latest_good"):
             raise ValueError(f"unknown outl_date_rule {self.p.outl_date_rule!r}")
@@ -182,8 +182,9 @@ class OperatorChain:
 
     @cached_property
     def network_projection(self):
-        return PJ.network_projection(self.regional_base, self.network_weekly_forecast,
-                                     self.network_weekly_on_order, self.p.projection_mode)
+        return PJ.network_projection(self.weekly_forecast, self.region_on_hand, self.network_on_hand, self.excess_base,
+                                     self.network_weekly_forecast, self.network_weekly_on_order, self.p,
+                                     self.p.projection_mode)
 
     def proposal_base(self, variant: str):
         return PR.proposal_base(self.src.item_location, self.region_map, self.products,
@@ -199,34 +200,16 @@ class OperatorChain:
     def region_need(self, variant: str):
         return PR.region_need(self.fc_need(variant), variant)
 
-    def _for_items(self, base: DataFrame, items: DataFrame) -> DataFrame:
-        """Rows of ``base`` for the given items only. The projection is computed
-        per (item, region), so dropping whole items before its windows is exact;
-        the semi join's item partitioning also satisfies the windows."""
-        return base.join(items.select(F.col("item").alias("product_part_number")).distinct(),
-                         "product_part_number", "left_semi")
-
     @cached_property
-    def _proposal_scope(self):
-        """The chain over inputs restricted to the run date's proposed items,
-        when that item list is within the broadcast bound; else None."""
-        items = self.proposal_items.select(F.col("item").alias("product_part_number")).distinct()
-        if not fits_bound(items, SMALL_TABLE_ROW_BOUND):
-            return None
+    def _proposal_scope(self) -> "OperatorChain":
+        """The chain over inputs restricted to the run date's proposed items."""
+        items = self.proposal_items.select(F.col("item").alias("product_part_number"))
         return OperatorChain(ItemScope(self.src, items, self.products), self.p)
 
-    def _proposal_base_rows(self) -> tuple[DataFrame, DataFrame]:
-        """(regional base, item attributes) for the proposed items: computed from
-        pre-filtered inputs when the item list is small, else filtered after."""
-        scope = self._proposal_scope
-        if scope is not None:
-            return scope.regional_base, scope.item_attributes
-        return self._for_items(self.regional_base, self.proposal_items), self.item_attributes
-
     def projected_state_for(self) -> DataFrame:
         """R14 for the items of today's proposals only (what R19 looks up)."""
-        base, attrs = self._proposal_base_rows()
-        return self._cut(PJ.projected_state(base, attrs, self.p.projection_mode))
+        scope = self._proposal_scope
+        return self._cut(PJ.projected_state(scope.regional_base, scope.item_attributes, self.p.projection_mode))
 
     @cached_property
     def proposal_items(self) -> DataFrame:
@@ -242,13 +225,11 @@ class OperatorChain:
         return self._once(("full_need", variant), build)
 
     def recommend(self, variant: str):
-        return D.recommend(self.full_need(variant), self.vendors, self.item_attributes, self.p, variant)
+        return D.recommend(self.full_need(variant), self.vendors, self._proposal_scope.item_attributes, self.p, variant)
 
     def network_measures(self):
         full = self.full_need("fillin")
-        scope = self._proposal_scope or self
-        net_proj = PJ.network_projection(self._proposal_base_rows()[0], scope.network_weekly_forecast,
-                                         scope.network_weekly_on_order, self.p.projection_mode)
+        net_proj = self._proposal_scope.network_projection
         return D.network_measures(full, PR.network_need(self.region_need("fillin")), net_proj)
 
     # -- compliance -----------------------------------------------------------------
@@ -272,7 +253,8 @@ class OperatorChain:
 
     @cached_property
     def trailing_performance(self):
-        return C.trailing_performance(self.src.merch_performance, self.compliance, self.p)
+        items = C.compliance_items(self.placed_orders_rollup, self.products, self.vendors)
+        return C.trailing_performance(self.src.merch_performance, items, self.p)
 
     @cached_property
     def compliance_report(self):

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restock.functions.joins import reset_size_checks
 from restock.operators import decisions as D
 from restock.operators import snapshots as S
 from restock.params import Params
@@ -26,13 +25,12 @@ def recommendations(src, params: Params, variant: str = "base") -> DataFrame:
 def run_daily(src, params: Params, table_path: str, variant: str = "base",
               handoff_csv: str | None = None) -> DataFrame:
     """Write the day's recommendations to ``table_path`` (and, optionally, the
-    sorted hand-off CSV). Returns the written rows, read back.
+    hand-off CSV, sorted over its part files). Returns the written rows, read back.
 
     The whole run - including the eager checkpoints of the long sub-plans -
     is planned with item co-partitioning (see ``session.ITEM_COPARTITION_CONF``)."""
     p = params.with_(checkpoint_stages=True)
     spark = src.excess_base.sparkSession
-    reset_size_checks()                      # tables may have grown since an earlier run
     with session_conf(spark, ITEM_COPARTITION_CONF):
         rec = OperatorChain(src, p).recommend(variant)
         table = (S.to_recommendation_table(rec, p.as_of) if variant == "base"
@@ -40,6 +38,7 @@ def run_daily(src, params: Params, table_path: str, variant: str = "base",
         S.write_partitioned(table, table_path)
     written = spark.read.parquet(table_path).where(F.col("snapshot_date") == F.lit(p.as_of))
     if handoff_csv:
-        (D.presentation_order(written, variant).coalesce(1).write.mode("overwrite")
+        # a range-partitioned sort: the part files in name order are the rows in order
+        (D.presentation_order(written, variant).write.mode("overwrite")
          .option("header", True).csv(handoff_csv))
     return written

@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock.operators import kpi as K
+from restock.operators import onorder as OO
 from restock.operators import proposals as PR
 from restock.operators import snapshots as S
 from restock.operators import compliance as C
@@ -16,6 +18,7 @@ from restock.operators import decisions as D
 from restock.params import Params
 from restock.plans.chain import OperatorChain
 from restock.sources.adapters import DriverTables
+from restock.sources.warehouse import WarehouseTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +49,13 @@ def _q(f: Callable[[OperatorChain], DataFrame]) -> QueryFn:
     return run
 
 
-NEED_RANK_COLS = ["item", "region", "location", "fc_need_so99", "fc_need_rank_in_region",
+def _listed_days(pl: OperatorChain) -> DataFrame:
+    """Three and one days before the run, from the table's own days."""
+    days = [pl.p.as_of - dt.timedelta(days=n) for n in (3, 1)]
+    return pl.excess_base.where(F.col("snapshot_date").isin(days)).select("snapshot_date").distinct()
+
+
+NEED_RANK_COLS = ["item", "region", "location", "fc_need", "fc_need_rank_in_region",
                   "fc_need_rank_in_network"]
 
 REGISTRY: dict[str, QueryFn] = {
@@ -56,6 +65,11 @@ REGISTRY: dict[str, QueryFn] = {
     "history_import": _q(lambda pl: S.history_import(pl.src.historical_file, pl.products, pl.vendors)),
     "outl_delete": _q(lambda pl: S.drop_snapshots(pl.excess_base, pl.outl_bad_dates)),
     "outl_repair": _q(lambda pl: S.outl_repair(pl.excess_base)),
+    # a listed day, a zero day that is not listed, and a listed first day
+    "outl_repair_listed": _q(lambda pl: S.outl_repair(pl.excess_base, _listed_days(pl))),
+    "outl_unrepaired": _q(lambda pl: S.unrepaired_days(S.repair_plan(pl.excess_base, _listed_days(pl)))),
+    "on_order_undated": _q(lambda pl: OO.undated_on_order(pl.src.onorder_detail, pl.p)),
+    "warehouse_scan": lambda spark, d: WarehouseTables(spark, {"orders": f"{d}/orders.parquet"}).orders,
     "spot_check": _q(lambda pl: pl.instock_base.where(F.col("snapshot_date") == F.lit(pl.p.kpi_start))),
     "outl_monitor": _q(lambda pl: S.outl_monitor(pl.excess_base)),
     "outl_bad_dates": _q(lambda pl: pl.outl_bad_dates),
@@ -93,11 +107,11 @@ REGISTRY: dict[str, QueryFn] = {
         "current_network_excess_created_cummulative_calcd")),
     "region_need_left": _q(lambda pl: pl.full_need("fillin").select(
         "item", "region", "location", "fc_need_rank_in_region", "proposed_fc_qty",
-        "region_proposed_qty_cummulative", "region_need_left_after_order_cummulative_so99")),
+        "region_proposed_qty_cummulative", "region_need_left_after_order_cummulative")),
     "need_fraction": _q(lambda pl: D.with_need_fraction(pl.full_need("fillin")).select(
         "item", "region", "location", "fc_need_rank_in_region", "proposed_fc_qty",
-        "region_need_left_after_order_cummulative_so99",
-        F.round("fc_region_need_percent_so99", 6).alias("fc_region_need_percent_so99"))),
+        "region_need_left_after_order_cummulative",
+        F.round("fc_region_need_percent", 6).alias("fc_region_need_percent"))),
     "recommend": _q(lambda pl: pl.recommend("base")),
     "recommend_fillin": _q(lambda pl: pl.recommend("fillin")),
     "high_moq": _q(lambda pl: pl.recommend("fillin").select(
@@ -108,16 +122,16 @@ REGISTRY: dict[str, QueryFn] = {
     "network_need": _q(lambda pl: PR.network_need(pl.region_need("fillin"))),
     "network_need_left": _q(lambda pl: pl.network_measures().select(
         "item", "region", "location", "fc_need_rank_in_network", "network_proposed_qty_cummulative",
-        "network_need_left_after_order_cummulative_so99",
-        "current_network_ip_with_proposed_qty_cummulative_so99",
-        "current_network_excess_created_cummulative_so99")),
+        "network_need_left_after_order_cummulative",
+        "current_network_ip_with_proposed_qty_cummulative",
+        "current_network_excess_created_cummulative")),
     "network_need_fraction": _q(lambda pl: pl.network_measures().select(
         "item", "region", "location",
-        F.round("fc_network_need_percent_cummulative_so99", 6).alias("fc_network_need_percent_cummulative_so99"),
-        F.round("network_excess_created_from_order_cummulative_dos_so99", 4)
-        .alias("network_excess_created_from_order_cummulative_dos_so99"),
-        F.round("proposed_ordered_units_cummulative_dos_so99", 4)
-        .alias("proposed_ordered_units_cummulative_dos_so99"))),
+        F.round("fc_network_need_percent_cummulative", 6).alias("fc_network_need_percent_cummulative"),
+        F.round("network_excess_created_from_order_cummulative_dos", 4)
+        .alias("network_excess_created_from_order_cummulative_dos"),
+        F.round("proposed_ordered_units_cummulative_dos", 4)
+        .alias("proposed_ordered_units_cummulative_dos"))),
     "dos_bucket": _q(lambda pl: pl.network_measures().select(
         "item", "region", "location", "network_excess_created_cummulative_dos_bucket",
         "proposed_ordered_units_cummulative_dos_bucket")),

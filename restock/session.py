@@ -86,9 +86,12 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (spark.checkpoint.dir).
-    Only when it is unset (local tests) is a scratch folder created."""
+    Only when it is unset on a local master (tests) is a scratch folder made;
+    elsewhere that would be a disk the executors don't share, so it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="restock-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -252,8 +252,9 @@ class DriverTables:
 
     @cached_property
     def proposals(self) -> DataFrame:
-        """One proposal per item x FC from the lines shipping in the next 60 days.
-        status X / P / null when the highest return flag is A / N / R; a few
+        """Proposals per item x FC from the lines shipping in the next 60 days: one
+        each, and for some a fill-in beside the primary one (kind 1), one of a
+        second supplier (2) or a second lot of the same supplier (3). status X / P / null when the highest return flag is A / N / R; a few
         suppliers are FC codes (self transfers); items with key % 11 = 0 carry
         the previous run date (stale proposals)."""
         a = self.p.as_of
@@ -263,17 +264,24 @@ class DriverTables:
                   F.max("l_returnflag").alias("mrf"), F.max("l_suppkey").alias("ms"))
              .withColumns({"item": F.col("product_key").cast("string"),
                            "fc": fc_code(F.col("location_key"))}))
+        s = F.col("product_key") + F.col("location_key")
+        more = lambda cond, kind: F.when(cond, F.array(F.lit(kind))).otherwise(F.array().cast("array<int>"))
+        primary = F.col("mrf") == "N"
+        g = g.withColumn("kind", F.explode(F.concat(F.array(F.lit(0)), more(primary & (s % 5 == 0), 1), more(s % 7 == 0, 2),
+                                                    more(primary & (s % 6 == 0), 3))))
+        kind = F.col("kind")
         run = F.when(F.col("product_key") % 11 == 0, _d(a - dt.timedelta(days=1))).otherwise(_d(a))
         return g.select(
             "item",
             F.concat(F.col("fc"), F.lit("-1")).alias("destwhs"),
-            F.when((F.col("product_key") + F.col("location_key")) % 9 == 0,
-                   fc_code((F.col("location_key") + 1) % 25))
+            F.when(kind == 2, F.concat_ws("-", (F.col("ms") % 5 + 1).cast("string"), F.col("fc")))
+            .when(s % 9 == 0, fc_code((F.col("location_key") + 1) % 25))
             .otherwise(F.concat_ws("-", F.col("ms").cast("string"), F.col("fc"))).alias("supplier"),
             run.alias("prundate"),
             "duedate",
-            F.col("q").cast("int").alias("qty"),
-            F.when(F.col("mrf") == "A", F.lit("X")).when(F.col("mrf") == "N", F.lit("P"))
+            F.when(kind == 1, F.col("q") + 3).when(kind == 2, F.col("q") * 2 + 5).when(kind == 3, F.col("q") + 7)
+            .otherwise(F.col("q")).cast("int").alias("qty"),
+            F.when((F.col("mrf") == "A") | (kind == 1), F.lit("X")).when(F.col("mrf") == "N", F.lit("P"))
             .otherwise(F.lit(None).cast("string")).alias("status"),
             run.alias("create_date"),
         )
@@ -423,7 +431,7 @@ class DriverTables:
             F.lit(self.p.as_of - dt.timedelta(days=1)).alias("snapshot_date"),
             F.col("action").alias("action_"), F.col("item_id").alias("item"), "supplier",
             F.col("proposed_qty").alias("proposed_fc_qty"),
-            F.col("fc_region_need_percent").cast("decimal(18,6)").alias("fc_region_need_percent_so99"),
+            F.col("fc_region_need_percent").cast("decimal(18,6)").alias("fc_region_need_percent"),
         )
 
     # -- order KPI inputs ------------------------------------------------------

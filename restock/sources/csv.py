@@ -4,7 +4,8 @@ Spark does not enforce ``varchar(n)`` widths and, in PERMISSIVE mode, turns an
 unparsable field into null. ``read_typed_csv`` therefore reads every declared
 column as text next to the typed value and splits the rows into accepted and
 rejected: a row is rejected when a text field is wider than declared, or when
-a non-empty field does not parse as its declared type. Everything stays a
+a non-empty field does not parse as its declared type, or when the line has
+more or fewer fields than declared. Everything stays a
 column expression, so the check runs inside the scan's codegen stage.
 """
 
@@ -42,17 +43,22 @@ HISTORY = [
     Col("item", T.StringType(), 7),
     Col("supplier", T.StringType(), 20),
     Col("proposed_fc_qty", T.IntegerType()),
-    Col("fc_region_need_percent_so99", T.DecimalType(18, 6)),
+    Col("fc_region_need_percent", T.DecimalType(18, 6)),
 ]
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _raw_schema(cols: list[Col]) -> T.StructType:
-    return T.StructType([T.StructField(c.name, T.StringType()) for c in cols])
+    return T.StructType([T.StructField(c.name, T.StringType()) for c in cols] + [T.StructField(CORRUPT, T.StringType())])
 
 
 def split_rejects(raw: DataFrame, cols: list[Col]) -> tuple[DataFrame, DataFrame]:
     """(accepted typed rows, rejected raw rows with a ``reject_reason``)."""
     typed, reasons = [], []
+    if CORRUPT in raw.columns:
+        reasons.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields")))
     for c in cols:
         s = F.col(c.name)
         if isinstance(c.dtype, T.StringType):
@@ -74,7 +80,7 @@ def split_rejects(raw: DataFrame, cols: list[Col]) -> tuple[DataFrame, DataFrame
 def read_typed_csv(spark: SparkSession, path: str, cols: list[Col], header: bool = False,
                    sep: str = ",") -> tuple[DataFrame, DataFrame]:
     raw = (spark.read.schema(_raw_schema(cols)).option("header", header).option("sep", sep)
-           .option("mode", "PERMISSIVE").csv(path))
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return split_rejects(raw, cols)
 
 

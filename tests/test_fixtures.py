@@ -90,7 +90,7 @@ def test_stock_tunnel_clamps(spark):
                                "item string, whouse string, date date, stkmin double, stkono double")
     r = PR.fc_need(props, st, "fillin").collect()
     assert len(r) == 1                                            # matched on the regional due date
-    assert (r[0].fc_outl_so99, r[0].fc_ip_so99, r[0].fc_need_so99) == (0.0, 0.0, 0.0)
+    assert (r[0].fc_outl, r[0].fc_ip, r[0].fc_need) == (0.0, 0.0, 0.0)
     assert r[0].is_fillin is False
 
 

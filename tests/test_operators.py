@@ -27,7 +27,7 @@ def test_need_fraction_cases(spark):
 
 
 LADDER = ("supplier string, is_fillin boolean, projected_region_oos_erddweek boolean, "
-          "fc_need_rank_in_region int, fc_region_need_percent_so99 double, want string")
+          "fc_need_rank_in_region int, fc_region_need_percent double, want string")
 
 
 def test_fillin_ladder_all_rungs(spark):
@@ -51,8 +51,8 @@ def test_base_ladder_needs_negative_need_left(spark):
             ("1-F001", True, 2, -3.0, 0.7, "APPROVE"),
             (None, True, 1, -3.0, 1.0, "REJECT: Did not Propose")]
     df = spark.createDataFrame(rows, "supplier string, projected_region_oos boolean, fc_need_rank_in_region int, "
-                                     "region_need_left_after_order_cummulative_so99 double, "
-                                     "fc_region_need_percent_so99 double, want string")
+                                     "region_need_left_after_order_cummulative double, "
+                                     "fc_region_need_percent double, want string")
     for r in df.select(D.decision("base", P).alias("a"), "want").collect():
         assert r.a == r.want
 
@@ -66,8 +66,8 @@ def test_high_moq(spark):
 
 def _tunnel(spark, rows):
     return spark.createDataFrame(rows, "item string, location string, region string, proposed_qty int, "
-                                       "proposal_type string, is_fillin boolean, fc_need_so99 double, "
-                                       "fc_outl_so99 double, fc_ip_so99 double")
+                                       "proposal_type string, is_fillin boolean, fc_need double, "
+                                       "fc_outl double, fc_ip double")
 
 
 def test_ranks_tie_break_and_fillin_last(spark):
@@ -79,7 +79,7 @@ def test_ranks_tie_break_and_fillin_last(spark):
     assert out["F002"].fc_need_rank_in_region == 2
     assert out["F003"].fc_need_rank_in_region == 3          # fill-in ranked after primaries
     assert out["F003"].fc_need_rank_in_network == 1         # network rank ignores type
-    assert out["F001"].total_reg_outl_so99 == 20.0          # fill-in row not counted
+    assert out["F001"].total_reg_outl == 20.0          # fill-in row not counted
     assert out["F002"].region_proposed_qty_cummulative == 10
 
 

@@ -41,11 +41,11 @@ def test_ranks_are_permutations(pl, variant):
 @pytest.mark.parametrize("variant", ["base", "fillin"])
 def test_need_fraction_bounds_and_monotone(pl, variant):
     f = with_need_fraction(pl.full_need(variant)).where(F.col("proposed_fc_qty").isNotNull())
-    assert f.where(~F.col("fc_region_need_percent_so99").between(0, 1)).count() == 0
+    assert f.where(~F.col("fc_region_need_percent").between(0, 1)).count() == 0
     w = Window.partitionBy("item", "region").orderBy("fc_need_rank_in_region")
-    prev = F.lag("fc_region_need_percent_so99").over(w)
+    prev = F.lag("fc_region_need_percent").over(w)
     assert f.select("*", prev.alias("prev")).where(
-        F.col("fc_region_need_percent_so99") > F.col("prev") + 1e-9).count() == 0
+        F.col("fc_region_need_percent") > F.col("prev") + 1e-9).count() == 0
 
 
 @pytest.mark.parametrize("variant", ["base", "fillin"])
