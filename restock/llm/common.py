@@ -28,14 +28,15 @@ def releasing(spark: SparkSession):
         yield
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it
-    back: cuts the lineage, and survives lost executors."""
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder (in folders of
+    the column ``by``, if given) and read it back: cuts the lineage, and survives
+    lost executors."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     schema = df.schema
     with releasing(spark):
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -43,7 +44,7 @@ def drop_staged(df: DataFrame) -> None:
     """Delete a table made by :func:`stage` that nothing reads any more."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:  # whole folders, not the files alone
         p = jvm.org.apache.hadoop.fs.Path(folder)
         p.getFileSystem(conf).delete(p, True)
 

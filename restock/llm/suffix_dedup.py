@@ -11,8 +11,8 @@ Strings lie within one document and are judged on the input.
   from there to the end of the last of them, the bytes to its left from the
   start of the first, and where it stands.
 * *Rare entries go early.* An entry whose 32 selected bytes occur once in the
-  corpus cannot repeat; hashes are counted with partial aggregates first, and
-  only the other entries get their bytes attached.
+  corpus cannot repeat; one pass over the entries' hashes in order finds the
+  others, and only they get their bytes attached.
 * *Family.* Entries come in batches by document order. A batch becomes a suffix
   array: spread by the hash of the selected bytes, sorted by suffix in each
   part. It is merge-scanned against the arrays of the levels: one pass over the
@@ -22,10 +22,10 @@ Strings lie within one document and are judged on the input.
   times.
 * *Partial repeats.* Entries of the final array with the same selected bytes but
   different surroundings share some of their strings at most. One scan of the
-  array emits those strings as 128-bit hashes; the earliest of each, found with
-  partial aggregates, stays.
+  array settles which stand earlier; crowds of such entries are settled by
+  128-bit hashes of their strings and partial aggregates instead.
 
-The scans hold one entry at a time. Whole copies of a text are settled first, by
+The scans hold a bounded number of entries. Whole copies of a text are settled first, by
 SHA-256: all but those with the smallest id are removed entirely (if of 100
 bytes or more) and take no further part, so a large group of copies is one text.
 
@@ -136,6 +136,33 @@ def entries(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("rid", "text").mapInArrow(run, "gram long, rid long, a int, p int, b int, again boolean")
 
 
+def recurring(found: DataFrame) -> DataFrame:
+    """The entries whose selected bytes (by their hash) are not those of one
+    entry alone, and all that repeat within their text: one pass over the
+    entries in the order of the hash, a batch of light rows at a time."""
+    def run(batches):
+        last, before = None, None  # the last row so far, and the hash before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = batch if last is None else pa.concat_batches([last, batch])
+            g = held.column(0).to_numpy()
+            same = g[1:] == g[:-1]
+            again = held.column(5).to_numpy(zero_copy_only=False)
+            keep = np.r_[same, False] | np.r_[before is not None and before == g[0], same] | again
+            # the last row waits for its successor
+            out = held.slice(0, len(g) - 1).filter(pa.array(keep[:-1]))
+            if out.num_rows:
+                yield out
+            before = g[-2] if len(g) > 1 else before
+            last = held.slice(len(g) - 1)
+        if last is not None and (last.column(5)[0].as_py() or before == last.column(0)[0].as_py()):
+            yield last
+
+    schema = "gram long, rid long, a int, p int, b int, again boolean"
+    return found.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, schema)
+
+
 def with_bytes(found: DataFrame, length: int) -> DataFrame:
     """``(gram, suffix, left, rid, p)`` from ``(rid, text, list of entries)``."""
     def run(batches: Iterator[pa.RecordBatch]):
@@ -158,7 +185,9 @@ def with_bytes(found: DataFrame, length: int) -> DataFrame:
 SEGMENT_NAMES = ["gram", "suffix", "left", "rid", "p"]
 SEGMENT = "gram long, suffix binary, left binary, rid long, p int"
 SEGMENT_ARROW = pa.schema([("gram", pa.int64()), ("suffix", pa.binary()), ("left", pa.binary()), ("rid", pa.int64()), ("p", pa.int32())])
-STRING_ARROW = pa.schema([("key", pa.binary()), ("rid", pa.int64()), ("a", pa.int32())])
+SCAN_ARROW = pa.schema([*SEGMENT_ARROW, ("a", pa.int32()), ("b", pa.int32())])
+SHARED_ARROW = pa.schema([("rid", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("key", pa.binary())])
+RUN_LIMIT = 4096  # entries of the same selected bytes that are resolved in one place
 ORDER = ["gram", "suffix", "left", "rid", "p"]
 
 
@@ -167,29 +196,30 @@ def suffix_array(segments: DataFrame) -> DataFrame:
 
 
 def merge_scan(batch: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """One pass over the merged order of a batch and the older levels:
-    ``(gram, suffix, left, rid, p, new boolean)`` of the batch's entries; not
-    new are those whose bytes stand in an older level or earlier in the batch."""
+    """One pass over the merged order of a batch and the older levels: the
+    batch's entries as ``(gram, suffix, left, rid, p, a, b)``, where ``a..b`` are
+    the bytes of the text they cover. Entries whose bytes stand in an older level
+    or earlier in the batch come without them (null suffix)."""
     rows_ = batch.select(*SEGMENT_NAMES, F.lit(True).alias("fresh"))
     for level in levels:
         rows_ = rows_.unionByName(level.select(*SEGMENT_NAMES, F.lit(False).alias("fresh")))
 
     def run(batches):
         last = at = None
-        for b in batches:
-            g, s, le, rid, p, fresh = (c.to_pylist() for c in b.columns)
-            keep, new = [], []
-            for i, (key, place) in enumerate(zip(zip(g, s, le), zip(rid, p))):
-                if fresh[i] and place != at:  # repeated rows bring the same place again
-                    keep.append(i)
-                    new.append(key != last)
+        for batch_ in batches:
+            cols: list[list] = [[] for _ in SCAN_ARROW]
+            for g, s, le, rid, p, fresh in zip(*(c.to_pylist() for c in batch_.columns)):
+                key, place = (g, s, le), (rid, p)
+                if fresh and place != at:  # repeated rows bring the same place again
+                    new = key != last
+                    for o, x in zip(cols, (g, s if new else None, le if new else None, rid, p, p - len(le), p + len(s))):
+                        o.append(x)
                 last, at = key, place
-            if keep:
-                out = b.take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([*out.columns[:5], pa.array(new)], [*SEGMENT_NAMES, "new"])
+            if cols[0]:
+                yield rows(SCAN_ARROW, cols)
 
     # document order is rid order and levels are older, so the first of equals is the earliest
-    return suffix_array(rows_).mapInArrow(run, SEGMENT + ", new boolean")
+    return suffix_array(rows_).mapInArrow(run, SEGMENT + ", a int, b int")
 
 
 class Family:
@@ -202,7 +232,7 @@ class Family:
     def add(self, batch: DataFrame) -> DataFrame:
         """Scan a batch, take it in, and return the repeated entries."""
         scanned = stage(merge_scan(batch, list(self.levels.values())), "suffix-scan")
-        level, rank = scanned.where("new").select(*SEGMENT_NAMES), 0
+        level, rank = scanned.where("suffix is not null").select(*SEGMENT_NAMES), 0
         while rank in self.levels:
             old = self.levels.pop(rank)
             level = stage(suffix_array(level.unionByName(old)), "suffix-level")
@@ -210,7 +240,7 @@ class Family:
                 drop_staged(old)
             rank += 1
         self.levels[rank] = level
-        return scanned.where("not new")
+        return scanned.where("suffix is null").select("rid", "a", "b")
 
     def all(self) -> DataFrame:
         first, *rest = self.levels.values()
@@ -219,41 +249,79 @@ class Family:
         return first
 
 
-def shared_strings(array: DataFrame, length: int) -> DataFrame:
-    """``(rid, a)``: the strings of entries with the same selected bytes that
-    stand earlier in another entry."""
+def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT) -> DataFrame:
+    """``(rid, a, b)``: the bytes of strings of the array's entries that stand
+    earlier in another entry. Entries that can share strings have the same
+    selected bytes and so are neighbours. Up to ``limit`` of them are resolved
+    where they are, by a set of their strings; of more, the strings are emitted
+    as hashes, and the earliest of each is found with partial aggregates."""
     import xxhash
 
     def run(batches):
-        pending = None  # the previous entry, and whether it has been emitted
+        held: list[tuple] = []
+        many = False  # the present entries are beyond the limit
+
+        def resolve(out):
+            seen: set[bytes] = set()
+            for _, suffix, left, rid, p in sorted(held, key=lambda r: (r[3], r[4])):
+                t, a = left + suffix, p - len(left)
+                since = None
+                own = []
+                for k in range(len(t) - length + 1):
+                    s = t[k : k + length]
+                    own.append(s)
+                    if s in seen:
+                        since = k if since is None else since
+                    elif since is not None:
+                        emit(out, rid, a + since, a + k - 1 + length)
+                        since = None
+                if since is not None:
+                    emit(out, rid, a + since, a + len(t))
+                seen.update(own)
+
+        def emit(out, rid, a, b, key=None):
+            for o, x in zip(out, (rid, a, b, key)):
+                o.append(x)
+
+        def strings(out):
+            for _, suffix, left, rid, p in held:
+                t, a = left + suffix, p - len(left)
+                for k in range(len(t) - length + 1):
+                    emit(out, rid, a + k, a + k + length, xxhash.xxh3_128_digest(t[k : k + length]))
+
+        def close(out):
+            if many:
+                strings(out)
+            elif len(held) > 1:
+                resolve(out)
+
         for b in batches:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for row in zip(*(c.to_pylist() for c in b.columns)):
-                if pending and pending[0][0] == row[0]:
-                    if not pending[1]:
-                        strings(pending[0], out)
-                    strings(row, out)
-                    pending = (row, True)
-                else:
-                    pending = (row, False)
+                if held and held[0][0] != row[0]:
+                    close(out)
+                    held, many = [], False
+                held.append(row)
+                if len(held) > limit:
+                    strings(out)
+                    held, many = held[:1], True  # one stays to tell the entries that follow
+                    held[0] = (row[0], b"", b"", 0, 0)
                 if len(out[0]) >= 50_000:
-                    yield rows(STRING_ARROW, out)
-                    out = [[], [], []]
+                    yield rows(SHARED_ARROW, out)
+                    out = [[], [], [], []]
             if out[0]:
-                yield rows(STRING_ARROW, out)
-
-    def strings(row, out):
-        _, suffix, left, rid, p = row
-        t, a = left + suffix, p - len(left)
-        for k in range(len(t) - length + 1):
-            out[0].append(xxhash.xxh3_128_digest(t[k : k + length]))
-            out[1].append(rid)
-            out[2].append(a + k)
+                yield rows(SHARED_ARROW, out)
+        out = [[], [], [], []]
+        if held:
+            close(out)
+        if out[0]:
+            yield rows(SHARED_ARROW, out)
 
-    found = stage(suffix_array(array).mapInArrow(run, "key binary, rid long, a int"), "suffix-strings")
-    first = found.groupBy("key").agg(F.min(F.struct("rid", "a")).alias("f"))
-    return (found.join(first, "key").where((F.col("rid") != F.col("f.rid")) | (F.col("a") != F.col("f.a")))
-            .select("rid", "a"))
+    found = stage(suffix_array(array).mapInArrow(run, "rid long, a int, b int, key binary"), "suffix-shared")
+    hashed = found.where("key is not null")
+    first = hashed.groupBy("key").agg(F.min(F.struct("rid", "a")).alias("f"))
+    later = hashed.join(first, "key").where((F.col("rid") != F.col("f.rid")) | (F.col("a") != F.col("f.a")))
+    return found.where("key is null").select("rid", "a", "b").unionByName(later.select("rid", "a", "b"))
 
 
 def repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
@@ -267,24 +335,19 @@ def repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int
                    .select("sha", "first_id", F.monotonically_increasing_id().alias("rid")), "texts")
     long_enough = rows_.where(F.octet_length("text") >= length)
     texts = long_enough.join(firsts, [long_enough.sha == firsts.sha, F.col("id") == F.col("first_id")]).select("rid", "text")
-    all_entries = stage(entries(texts, length, gram), "entries")
-    common = all_entries.groupBy("gram").count().where("count > 1").select("gram")
-    lists = (all_entries.where("not again").join(common, "gram")
-             .groupBy("rid").agg(F.collect_list(F.struct("gram", "a", "p", "b")).alias("es")))
+    hits = stage(recurring(entries(texts, length, gram)), "recurring")
+    lists = hits.where("not again").groupBy("rid").agg(F.collect_list(F.struct("gram", "a", "p", "b")).alias("es"))
     placed = lists.join(firsts, "rid").withColumnsRenamed({"sha": "sha_"})
     found = long_enough.join(placed, [F.col("sha") == F.col("sha_"), F.col("id") == F.col("first_id")]).select("rid", "text", "es")
-    segments = stage(with_bytes(found, length), "segments")
-    inside = all_entries.where("again").select("rid", "a", (F.col("b") + length).alias("b"))
-
-    cuts = firsts.agg(F.percentile_approx("rid", F.array(*[F.lit(i / batches) for i in range(1, batches)]))).first()[0] if batches > 1 else []
-    family, lost = Family(), inside
-    edges = [-1, *(cuts or []), LAST_ID]
-    for lo, hi in zip(edges, edges[1:]):
-        again = family.add(segments.where((F.col("rid") > lo) & (F.col("rid") <= hi)))
-        lost = lost.unionByName(again.select("rid", (F.col("p") - F.length("left")).cast("int").alias("a"),
-                                             (F.col("p") + F.length("suffix")).cast("int").alias("b")))
-    part = shared_strings(family.all(), length)
-    lost = lost.unionByName(part.select("rid", "a", (F.col("a") + length).alias("b")))
+    cuts = (firsts.agg(F.percentile_approx("rid", F.array(*[F.lit(i / batches) for i in range(1, batches)]))).first()[0] or []) if batches > 1 else []
+    number = sum([(F.col("rid") > c).cast("int") for c in cuts], F.lit(0))
+    segments = stage(with_bytes(found, length).withColumn("batch", number), "segments", "batch")
+    lost = hits.where("again").select("rid", "a", (F.col("b") + length).alias("b"))
+
+    family = Family()
+    for i in range(len(cuts) + 1):
+        lost = lost.unionByName(family.add(segments.where(F.col("batch") == i)))
+    lost = lost.unionByName(shared_strings(family.all(), length))
     ranges = lost.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     return firsts.join(ranges, "rid", "left").select("sha", "first_id", "ranges")
 

@@ -54,6 +54,25 @@ def test_matches_brute_force(spark, tmp_path):
         check(spark, put(docs(spark, texts), tmp_path / str(seed)), list(enumerate(texts)))
 
 
+def test_crowds_are_settled_alike(spark):
+    """Entries with the same selected bytes, resolved in place or by hashes."""
+    rng = random.Random(8)
+    cores = ["".join(rng.choice("abcdefgh ") for _ in range(70)) for _ in range(2)]
+    noise = lambda k: "".join(rng.choice("xyzw") for _ in range(k))
+    rows = []
+    for rid in range(60):
+        left, right = noise(3) + "left side text "[: rng.randint(3, 15)], cores[rid >= 50] + "right side of it"[: rng.randint(5, 16)] + noise(14)
+        rows.append((1 if rid < 50 else 2, right.encode(), left.encode(), rid, 50))
+    df = spark.createDataFrame(rows, S.SEGMENT)
+    covered = []
+    for limit in (3, 1000):
+        got = set()
+        for r in S.shared_strings(df, 60, limit).collect():
+            got |= {(r.rid, x) for x in range(r.a, r.b)}
+        covered.append(got)
+    assert covered[0] == covered[1] and covered[0]
+
+
 def test_edge_cases(spark, tmp_path):
     long = "z" * 99
     texts = ["", None, long, long, long + "z", "a" * 5000, "a" * 100, "a" * 99, "é" * 60, "xé" + "é" * 60, "", "q" * 100, "q" * 100]
