@@ -44,10 +44,11 @@ def repair_plan(excess_base: DataFrame, listed: DataFrame | None = None) -> Data
     else:
         marked = listed.select("snapshot_date").distinct().withColumn("_listed", F.lit(True))
         days = days.join(dimension(marked), "snapshot_date", "left").withColumn("_bad", F.col("_listed").isNotNull())
-    bad = days.where("_bad").select(F.col("snapshot_date").alias("bad_date"), F.lit(1).alias("_one"))
-    good = days.where("not _bad and not _zero").select(F.col("snapshot_date").alias("_good"), F.lit(1).alias("_one"))
-    return (bad.join(dimension(good), "_one", "left")
-            .groupBy("bad_date").agg(F.max(F.when(F.col("_good") < F.col("bad_date"), F.col("_good"))).alias("source_date")))
+    # the days as one array: a few thousand at most
+    every = days.agg(F.collect_list(F.struct("snapshot_date", "_bad", "_zero")).alias("_days"))
+    one = every.select("_days", F.explode(F.filter("_days", lambda x: x["_bad"])["snapshot_date"]).alias("bad_date"))
+    earlier = F.filter("_days", lambda x: ~x["_bad"] & ~x["_zero"] & (x["snapshot_date"] < F.col("bad_date")))
+    return one.select("bad_date", F.array_max(F.transform(earlier, lambda x: x["snapshot_date"])).alias("source_date"))
 
 
 def unrepaired_days(plan: DataFrame) -> DataFrame:

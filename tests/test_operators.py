@@ -67,7 +67,8 @@ def test_high_moq(spark):
 def _tunnel(spark, rows):
     return spark.createDataFrame(rows, "item string, location string, region string, proposed_qty int, "
                                        "proposal_type string, is_fillin boolean, fc_need double, "
-                                       "fc_outl double, fc_ip double")
+                                       "fc_outl double, fc_ip double").selectExpr(
+        "*", "concat('1-', location) AS supplier", "DATE'2022-05-02' AS duedate", "'P' AS status")
 
 
 def test_ranks_tie_break_and_fillin_last(spark):
@@ -158,10 +159,40 @@ def test_repair_copies_last_good_day_and_is_idempotent(spark):
     assert sorted(S.outl_repair(fixed).collect()) == sorted(fixed.collect())
 
 
-def test_repair_bad_first_day_has_no_source(spark):
+def test_repair_bad_first_day_stays_and_is_listed(spark):
     eb = _excess(spark, [(dt.date(2022, 5, 1), "a", 0.0, 1), (dt.date(2022, 5, 2), "a", 4.0, 1)])
     out = S.outl_repair(eb).collect()
-    assert [r.snapshot_date for r in out] == [dt.date(2022, 5, 2)]
+    assert sorted(r.snapshot_date for r in out) == [dt.date(2022, 5, 1), dt.date(2022, 5, 2)]
+    assert [r.snapshot_date for r in S.unrepaired_days(S.repair_plan(eb)).collect()] == [dt.date(2022, 5, 1)]
+
+
+def test_repair_never_copies_a_zero_day(spark):
+    d = [dt.date(2022, 5, k) for k in (1, 2, 3)]
+    eb = _excess(spark, [(d[0], "a", 4.0, 1), (d[1], "a", 0.0, 2), (d[2], "a", 5.0, 3)])
+    listed = spark.createDataFrame([(d[2],)], "snapshot_date date")
+    assert [tuple(r) for r in S.repair_plan(eb, listed).collect()] == [(d[2], d[0])]
+
+
+def test_delete_days_and_append_history(spark, tmp_path):
+    d = [dt.date(2022, 5, k) for k in (1, 2)]
+    path = str(tmp_path / "t")
+    S.write_partitioned(_excess(spark, [(d[0], "a", 1.0, 1), (d[1], "a", 2.0, 1)]), path)
+    more = _excess(spark, [(d[1], "b", 3.0, 2)])
+    assert S.append_history(more, path) == 1 and S.append_history(more, path) == 0
+    assert spark.read.parquet(path).count() == 3
+    S.delete_days(spark, path, [d[0]])
+    assert {r.snapshot_date for r in spark.read.parquet(path).collect()} == {d[1]}
+
+
+def test_ranks_do_not_depend_on_input_order(spark):
+    """Several proposals of one FC with equal need."""
+    rows = [("1", "F001", "E", q, "1", False, 10.0, 10.0, 0.0) for q in (5, 50, 7, 50)]
+    rows += [("1", "F002", "E", q, "2", True, 10.0, 10.0, 0.0) for q in (9, 1)]
+    got = []
+    for k in (1, 5):
+        df = _tunnel(spark, rows if k == 1 else rows[::-1]).repartition(k)
+        got.append(sorted(str(tuple(r)) for r in D.ranked_need(df, "fillin").collect()))
+    assert got[0] == got[1]
 
 
 def test_repair_table_overwrites_only_bad_partitions(spark, tmp_path):

@@ -25,7 +25,7 @@ def test_rank_windows_share_one_exchange(spark):
     t = spark.createDataFrame([("1", "F001", "E", 5, "1", False, 1.0, 1.0, 0.0)],
                               "item string, location string, region string, proposed_qty int, "
                               "proposal_type string, is_fillin boolean, fc_need double, "
-                              "fc_outl double, fc_ip double")
+                              "fc_outl double, fc_ip double").selectExpr("*", "'1-F001' AS supplier", "current_date() AS duedate", "'P' AS status")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = _plan(D.ranked_need(t.repartition(4), "fillin"))

@@ -54,9 +54,9 @@ def test_full_need_does_not_fan_out(pl, variant):
 
 
 def test_oos_rates_in_unit_interval(pl):
-    r = K.region_oos_rate(K.region_oos(pl.instock_base))
+    r = K.region_oos_rate(pl.region_oos)
     assert r.where(~F.col("region_oos_percentage").between(0, 1)).count() == 0
-    n = K.network_oos_rate(K.network_oos(pl.instock_base))
+    n = K.network_oos_rate(pl.network_oos)
     assert n.where(~F.col("network_oos_percentage").between(0, 1)).count() == 0
 
 

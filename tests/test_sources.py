@@ -3,6 +3,14 @@
 from restock.sources.csv import read_recommendations
 
 
+def test_wrong_number_of_fields_is_rejected(spark, tmp_path):
+    p = tmp_path / "recs.csv"
+    p.write_text("APPROVE,1,East,F001,7-F001,10,0.5\nAPPROVE,2,East,F001,7-F001,10,0.5,more\nAPPROVE,3,East\n")
+    ok, bad = read_recommendations(spark, str(p))
+    assert [r.item_id for r in ok.collect()] == ["1"]
+    assert sorted((r.item_id, r.reject_reason) for r in bad.collect()) == [("2", "wrong number of fields"), ("3", "wrong number of fields")]
+
+
 def test_recommendation_csv_rejects(spark, tmp_path):
     p = tmp_path / "recs.csv"
     p.write_text(
