@@ -12,9 +12,10 @@ of windows rises and the pieces are partitioned again.
 
 Ids are those of the tokenizer file, whose path is a parameter: texts are
 normalised and split into words as that file says, and each different word is
-encoded once by the ``tokenizers`` library and remembered (a bounded cache);
+encoded once, by the merges of that file, and remembered (a bounded cache);
 texts with characters beyond U+02FF, ASCII separators or the special tokens'
-strings are encoded whole by the library.
+strings are encoded whole by the ``tokenizers`` library, as are long words. The
+tests hold the ids against the library's.
 
 A null text is empty; a document without ids is its end id. Repeated rows are
 packed each for itself. Sequence ids are unique and ascending within a task:
@@ -24,6 +25,7 @@ task number * 2**33 + count.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import unicodedata
 import zlib
@@ -40,7 +42,9 @@ CAPACITY = 2048
 PIECE = 512
 END = 1
 GROUP = 8192  # pieces that are partitioned together
-CACHE = 400_000  # words remembered in a task
+CACHE = 1_000_000  # words remembered by a worker, about 200 bytes each
+LONG_WORD = 64
+NEVER = 1 << 30
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 
@@ -58,6 +62,14 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        model = json.loads(self.tokenizer.to_str())["model"]
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        self.rank = {(a, b): i for i, (a, b) in enumerate(pairs)}
+        self.id_of = {piece: np.array([i], "<u4").tobytes() for piece, i in model["vocab"].items()}
+        # byte -> the character that stands for it: printable ones for themselves, the others from U+0100 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.symbol = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         low = [chr(i) for i in range(0x300)]
         kind = {c: unicodedata.category(c)[0] for c in low}
         chars = {k: re.escape("".join(c for c in low if kind[c] == k)) for k in "LN"}
@@ -69,17 +81,35 @@ class Words:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of one word: the pair of lowest rank merges first, leftmost first."""
+        if len(word) > LONG_WORD:
+            return self.whole(word)
+        sym = [self.symbol[b] for b in word.encode()]
+        sym[-1] += "</w>"
+        rank = self.rank.get
+        ranks = [rank(p, NEVER) for p in zip(sym, sym[1:])]
+        while ranks and (least := min(ranks)) < NEVER:
+            i = ranks.index(least)
+            sym[i : i + 2] = [sym[i] + sym[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((sym[i - 1], sym[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = rank((sym[i], sym[i + 1]), NEVER)
+        return b"".join(map(self.id_of.__getitem__, sym))
+
     def __call__(self, text: str) -> bytes:
         if self.rare(text):
             return self.whole(text)
         words, cache = self.split(text.lower()), self.cache
-        new = [w for w in dict.fromkeys(words) if w not in cache]
+        new = set(words).difference(cache)
         if new:
             if len(cache) + len(new) > CACHE:
                 cache.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
+                new = set(words)
+            for w in new:
+                cache[w] = self.word(w)
         return b"".join(map(cache.__getitem__, words))
 
 

@@ -50,6 +50,14 @@ def test_dropout_varies_and_is_seeded():
     assert len(M.Encoder(M.model_path(), dropout=1.0).encode("abc")) == 4 * 4
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcdeThin er", min_size=1, max_size=70), st.integers(0, 7))
+def test_both_agendas_agree(text, key):
+    marked = text.replace(" ", "▁")
+    for e in (PLAIN, DROP):
+        assert e._short(marked, key) == e._long(marked, key)
+
+
 def test_long_runs(spark):
     for t in (" " * 20000 + "x", "a" * 20000, "\n" * 5000, "=" * 7000):
         assert DROP.decode(DROP.encode(t)) == t
