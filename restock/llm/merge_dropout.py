@@ -38,9 +38,12 @@ from restock.llm.common import table, text_runs, utf8
 
 BLANK = "▁"
 DROPOUT = 0.1
-VARIANTS = 8
+VARIANTS = 4
 SEED = 20
-CACHE = 400_000  # segments remembered in a task
+CACHE = 1_000_000  # segments remembered by a worker, about 200 bytes each
+LONG = 64  # symbols from which the agenda is a heap
+NEVER = 1 << 31
+WORD = (1 << 64) - 1
 
 
 def model_path() -> str:
@@ -67,7 +70,7 @@ class Encoder:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.vocab_size()
         self.ids: dict[str, int] = {}
-        self.cost: dict[str, float] = {}
+        scores: dict[str, float] = {}
         self.bytes_: list[int | None] = [None] * 256
         self.out: list[bytes] = [b""] * n
         for i in range(n):
@@ -76,8 +79,12 @@ class Encoder:
                 value = int(piece[1:-1], 16)
                 self.bytes_[value], self.out[i] = i, bytes([value])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.ids[piece], self.cost[piece] = i, -sp.get_score(i)
+                self.ids[piece], scores[piece] = i, -sp.get_score(i)
                 self.out[i] = piece.replace(BLANK, " ").encode()
+        # the place of a piece's score among all scores: best first, equal scores equal
+        place = {s: k for k, s in enumerate(sorted(set(scores.values())))}
+        self.cost = {piece: place[s] for piece, s in scores.items()}
+        self.packed = {piece: np.array([i], "<u4").tobytes() for piece, i in self.ids.items()}
         if None in self.bytes_:
             raise ValueError("the model has no pieces for single bytes")
         self.limit = int(dropout * 2**64)
@@ -110,46 +117,62 @@ class Encoder:
 
     def merge(self, segment: str, variant: int) -> bytes:
         """Agenda processing of one segment."""
+        key = xxhash.xxh64_intdigest(segment.encode(), self.seed * self.variants + variant)
+        sym = self._short(segment, key) if len(segment) <= LONG else self._long(segment, key)
+        return b"".join([self.packed.get(s) or self._bytes(s) for s in sym])
+
+    def _bytes(self, symbol: str) -> bytes:
+        return np.array([self.bytes_[b] for b in symbol.encode()], "<u4").tobytes()
+
+    def _skipped(self, place: int, cost: int, key: int) -> bool:
+        """The keyed hash of a candidate, below the limit; the key has the seed,
+        the variant and the segment, and the cost stands for the piece."""
+        h = (key ^ (place << 32 | cost)) * 0x9E3779B97F4A7C15 & WORD
+        return ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & WORD) < self.limit
+
+    def _short(self, segment: str, key: int) -> list[str]:
+        """The agenda as a list: the cost of each adjacent pair, or never."""
+        sym, cost = list(segment), self.cost.get
+        costs = [cost(a + b, NEVER) for a, b in zip(sym, sym[1:])]
+        starts, skip = list(range(len(sym))), self.limit > 0
+        while costs and (least := min(costs)) < NEVER:
+            i = costs.index(least)
+            piece = sym[i] + sym[i + 1]
+            if skip and self._skipped(starts[i], least, key):
+                costs[i] = NEVER
+                continue
+            sym[i : i + 2] = [piece]
+            del costs[i], starts[i + 1]
+            if i:
+                costs[i - 1] = cost(sym[i - 1] + piece, NEVER)
+            if i < len(costs):
+                costs[i] = cost(piece + sym[i + 1], NEVER)
+        return sym
+
+    def _long(self, segment: str, key: int) -> list[str]:
+        """The agenda as a heap."""
         sym = list(segment)
-        n, cost = len(sym), self.cost.get
-        agenda = []
-        for i in range(n - 1):
-            p = sym[i] + sym[i + 1]
-            c = cost(p)
-            if c is not None:
-                agenda.append((c, i, p))
-        if agenda:
-            heapq.heapify(agenda)
-            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-            key, limit, digest = self.seed * self.variants + variant, self.limit, xxhash.xxh64_intdigest
-            while agenda:
-                _, i, p = heapq.heappop(agenda)
-                j = after[i]
-                if not sym[i] or j >= n or len(sym[i]) + len(sym[j]) != len(p):
-                    continue  # one of the two has merged meanwhile
-                if limit and digest(f"{i}\0{p}\0{segment}".encode(), key) < limit:
-                    continue
-                sym[i], sym[j] = p, ""
-                k = after[i] = after[j]
-                if k < n:
-                    before[k] = i
-                    c = cost(q := p + sym[k])
-                    if c is not None:
-                        heapq.heappush(agenda, (c, i, q))
-                h = before[i]
-                if h >= 0:
-                    c = cost(q := sym[h] + p)
-                    if c is not None:
-                        heapq.heappush(agenda, (c, h, q))
-        ids: list[int] = []
-        for s in sym:
-            if s:
-                i = self.ids.get(s)
-                if i is None:
-                    ids.extend(self.bytes_[b] for b in s.encode())
-                else:
-                    ids.append(i)
-        return np.array(ids, "<u4").tobytes()
+        n, cost, skip = len(sym), self.cost.get, self.limit > 0
+        agenda = [(c, i, p) for i, p in enumerate(a + b for a, b in zip(sym, sym[1:])) if (c := cost(p)) is not None]
+        heapq.heapify(agenda)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while agenda:
+            c0, i, p = heapq.heappop(agenda)
+            j = after[i]
+            if not sym[i] or j >= n or len(sym[i]) + len(sym[j]) != len(p):
+                continue  # one of the two has merged meanwhile
+            if skip and self._skipped(i, c0, key):
+                continue
+            sym[i], sym[j] = p, ""
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (c := cost(q := p + sym[k])) is not None:
+                    heapq.heappush(agenda, (c, i, q))
+            h = before[i]
+            if h >= 0 and (c := cost(q := sym[h] + p)) is not None:
+                heapq.heappush(agenda, (c, h, q))
+        return [s for s in sym if s]
 
     def encode(self, text: str, number: int = 0) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers; ``number``: the
