@@ -131,17 +131,23 @@ class Encoder:
         return ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & WORD) < self.limit
 
     def _short(self, segment: str, key: int) -> list[str]:
-        """The agenda as a list: the cost of each adjacent pair, or never."""
-        sym, cost = list(segment), self.cost.get
+        """The agenda as a list: the cost of each adjacent pair, or never. The
+        hash is that of :meth:`_skipped`, written out in the loop."""
+        sym, cost, limit = list(segment), self.cost.get, self.limit
         costs = [cost(a + b, NEVER) for a, b in zip(sym, sym[1:])]
-        starts, skip = list(range(len(sym))), self.limit > 0
-        while costs and (least := min(costs)) < NEVER:
+        starts = list(range(len(sym)))
+        while costs:
+            least = min(costs)
+            if least == NEVER:
+                break
             i = costs.index(least)
+            if limit:
+                h = (key ^ (starts[i] << 32 | least)) * 0x9E3779B97F4A7C15 & WORD
+                if ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & WORD) < limit:
+                    costs[i] = NEVER
+                    continue
             piece = sym[i] + sym[i + 1]
-            if skip and self._skipped(starts[i], least, key):
-                costs[i] = NEVER
-                continue
-            sym[i : i + 2] = [piece]
+            sym[i : i + 2] = (piece,)
             del costs[i], starts[i + 1]
             if i:
                 costs[i - 1] = cost(sym[i - 1] + piece, NEVER)

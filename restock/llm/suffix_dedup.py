@@ -226,18 +226,19 @@ class Family:
     """Levels of suffix arrays; the rank of a level is the logarithm of the
     number of batches in it."""
 
-    def __init__(self):
+    def __init__(self, made: list[DataFrame]):
         self.levels: dict[int, DataFrame] = {}
+        self.made = made  # staged tables, for the caller to drop
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Scan a batch, take it in, and return the repeated entries."""
         scanned = stage(merge_scan(batch, list(self.levels.values())), "suffix-scan")
+        self.made.append(scanned)
         level, rank = scanned.where("suffix is not null").select(*SEGMENT_NAMES), 0
         while rank in self.levels:
             old = self.levels.pop(rank)
             level = stage(suffix_array(level.unionByName(old)), "suffix-level")
-            if rank:
-                drop_staged(old)
+            self.made.append(level)
             rank += 1
         self.levels[rank] = level
         return scanned.where("suffix is null").select("rid", "a", "b")
@@ -249,7 +250,7 @@ class Family:
         return first
 
 
-def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT) -> DataFrame:
+def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT, made: list[DataFrame] | None = None) -> DataFrame:
     """``(rid, a, b)``: the bytes of strings of the array's entries that stand
     earlier in another entry. Entries that can share strings have the same
     selected bytes and so are neighbours. Up to ``limit`` of them are resolved
@@ -318,16 +319,20 @@ def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT) -> Dat
             yield rows(SHARED_ARROW, out)
 
     found = stage(suffix_array(array).mapInArrow(run, "rid long, a int, b int, key binary"), "suffix-shared")
+    if made is not None:
+        made.append(found)
     hashed = found.where("key is not null")
     first = hashed.groupBy("key").agg(F.min(F.struct("rid", "a")).alias("f"))
     later = hashed.join(first, "key").where((F.col("rid") != F.col("f.rid")) | (F.col("a") != F.col("f.a")))
     return found.where("key is null").select("rid", "a", "b").unionByName(later.select("rid", "a", "b"))
 
 
-def repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
+def repeats(df: DataFrame, key: str, text: str, made: list[DataFrame], length: int = LENGTH, gram: int = GRAM,
+            batches: int = BATCHES) -> DataFrame:
     """``(sha, first_id, ranges)`` for each different text of ``df``: its
     smallest id (null ids as the largest long), and the byte ranges that repeat
-    there, or null. Texts are matched to ``df`` by ``sha2(text, 256)``."""
+    there, or null. Texts are matched to ``df`` by ``sha2(text, 256)``. ``made``
+    gets the staged tables that the result is computed from."""
     sha = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     rows_ = df.select(sha.alias("sha"), F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("id"),
                       F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -335,6 +340,7 @@ def repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int
                    .select("sha", "first_id", F.monotonically_increasing_id().alias("rid")), "texts")
     long_enough = rows_.where(F.octet_length("text") >= length)
     texts = long_enough.join(firsts, [long_enough.sha == firsts.sha, F.col("id") == F.col("first_id")]).select("rid", "text")
+    made.append(firsts)
     hits = stage(recurring(entries(texts, length, gram)), "recurring")
     lists = hits.where("not again").groupBy("rid").agg(F.collect_list(F.struct("gram", "a", "p", "b")).alias("es"))
     placed = lists.join(firsts, "rid").withColumnsRenamed({"sha": "sha_"})
@@ -342,12 +348,13 @@ def repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int
     cuts = (firsts.agg(F.percentile_approx("rid", F.array(*[F.lit(i / batches) for i in range(1, batches)]))).first()[0] or []) if batches > 1 else []
     number = sum([(F.col("rid") > c).cast("int") for c in cuts], F.lit(0))
     segments = stage(with_bytes(found, length).withColumn("batch", number), "segments", "batch")
+    made += [hits, segments]
     lost = hits.where("again").select("rid", "a", (F.col("b") + length).alias("b"))
 
-    family = Family()
+    family = Family(made)
     for i in range(len(cuts) + 1):
         lost = lost.unionByName(family.add(segments.where(F.col("batch") == i)))
-    lost = lost.unionByName(shared_strings(family.all(), length))
+    lost = lost.unionByName(shared_strings(family.all(), length, made=made))
     ranges = lost.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     return firsts.join(ranges, "rid", "left").select("sha", "first_id", "ranges")
 
@@ -366,7 +373,10 @@ def removed(df: DataFrame, key: str = "doc_id", text: str = "text", length: int
             batches: int = BATCHES) -> DataFrame:
     """``(key, text, later, ranges)`` for each row: ``later`` marks a copy of a
     text with a smaller id, of which everything goes if it is long enough."""
-    verdict = stage(repeats(df, key, text, length, gram, batches), "verdict")
+    made: list[DataFrame] = []
+    verdict = stage(repeats(df, key, text, made, length, gram, batches), "verdict")
+    for x in made:
+        drop_staged(x)
     left = df.withColumn("sha__", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     joined = left.join(verdict, F.col("sha__") == F.col("sha"))
     later = (F.coalesce(F.col(key), F.lit(LAST_ID)) != F.col("first_id")) & (F.octet_length(text) >= length)
