@@ -41,6 +41,7 @@ MAX_POOL = 20_000
 ROUNDS = 3
 SURE = 0.98
 KEEP = 0.5
+FIT_TASKS = 6
 SOURCES, LANGS = 32, 16
 
 
@@ -140,7 +141,9 @@ def _fit(train: DataFrame, view: str) -> Linear:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
-    data = train.select(array_to_vector(F.col(view)).alias("features"), F.col("y").cast("double").alias("label"), F.col("w").cast("double").alias("w"))
+    # the sample is bounded, and each of the many steps of a fit runs a task for each partition
+    data = train.select(array_to_vector(F.col(view)).alias("features"), F.col("y").cast("double").alias("label"),
+                        F.col("w").cast("double").alias("w")).coalesce(FIT_TASKS)
     fitted = LogisticRegression(maxIter=30, regParam=1e-3, weightCol="w").fit(data)
     return Linear([float(x) for x in fitted.coefficients.toArray()], float(fitted.intercept))
 
