@@ -92,8 +92,8 @@ def select(data: bytes, starts: np.ndarray, length: int, gram: int):
 
 def entries(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """``(gram, rid, a, p, b, again)`` from ``(rid, text)``: the strings that
-    start at a..b select position p; ``again``: the same bytes are an entry
-    earlier in the text already."""
+    start at a..b select position p. Entries whose bytes are an entry earlier in
+    the text already come as ranges of such strings, marked ``again``."""
     def run(batches):
         for batch, i, j in text_runs(batches):
             rid = batch.column("rid").slice(i, j - i).to_numpy()
@@ -129,8 +129,20 @@ def entries(texts: DataFrame, length: int, gram: int) -> DataFrame:
             seen.add(key)
             previous = k
         base = offset[doc] - starts[doc]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h), pa.array(rid[doc]), *(pa.array((x + base).astype(np.int32)) for x in (a, p, b)), pa.array(again)],
+        # what repeats within the text goes as merged ranges, under hashes that spread them
+        x = np.flatnonzero(again)
+        if len(x):
+            open_ = np.r_[True, (doc[x[1:]] != doc[x[:-1]]) | (a[x[1:]] > b[x[:-1]] + length)]
+            first, last = x[open_], x[np.r_[np.flatnonzero(open_)[1:] - 1, len(x) - 1]]
+            spread = (rid[doc[first]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (a[first].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+            yield batch_of(spread.view(np.int64), rid[doc[first]], a[first] + base[first], a[first] + base[first], b[last] + base[first], True)
+        x = np.flatnonzero(~again)
+        if len(x):
+            yield batch_of(h[x], rid[doc[x]], a[x] + base[x], p[x] + base[x], b[x] + base[x], False)
+
+    def batch_of(h, rid, a, p, b, again):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h), pa.array(rid), *(pa.array(x.astype(np.int32)) for x in (a, p, b)), pa.array(np.full(len(h), again))],
             ["gram", "rid", "a", "p", "b", "again"])
 
     return texts.select("rid", "text").mapInArrow(run, "gram long, rid long, a int, p int, b int, again boolean")
