@@ -4,17 +4,18 @@ Two views of a document: its text content (statistics of the whole text: lengths
 repetition of words and lines, character classes and pairs of them) and its
 metadata (source, language, stated length). Each view has a logistic classifier.
 They start from the labelled documents; in each round, each view's classifier
-labels the pool of unlabelled documents, and the documents it is confident of
-(calibrated probability beyond ``sure`` either way) are training data of the
+labels the pool, all unlabelled documents, and those it is confident of
+(calibrated probability beyond ``sure`` either way) are all training data of the
 *other* view's classifier in the next round. A part of the labelled documents is
 kept back to calibrate both views (Platt scaling) and never trained on; the
 calibrated log-odds of the views add up, less the prior's, to the score of all
 documents. A document is kept if its probability of good quality is a half or
 more.
 
-The fit uses bounded samples: of the labelled documents and of the others, the
-``max_labelled`` and ``max_pool`` with the smallest hash of the id. Scoring is
-one pass over all documents with the fitted weights, a few hundred numbers.
+Of the labelled documents, those ``max_labelled`` with the smallest hash of the
+id are used; the pool has no bound. The views of both are staged once, and fits
+are distributed over them. Scoring is one pass over all documents with the fitted
+weights, a few hundred numbers.
 
 A null text is empty; null metadata are values of their own. Documents labelled
 more than once take the mean, ties are good; null labels and ids don't train.
@@ -34,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restock.llm.common import stage, table, text_runs, unused_name, utf8
+from restock.llm.common import drop_staged, stage, table, text_runs, unused_name, utf8
 
 MAX_LABELLED = 20_000
-MAX_POOL = 20_000
 ROUNDS = 3
 SURE = 0.98
 KEEP = 0.5
 FIT_TASKS = 6
+FIT, HELD, POOL, SPARE = range(4)  # parts of the documents: fitted, calibrating, unlabelled, labelled beyond the bound
 SOURCES, LANGS = 32, 16
 
 
@@ -141,9 +142,8 @@ def _fit(train: DataFrame, view: str) -> Linear:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
-    # the sample is bounded, and each of the many steps of a fit runs a task for each partition
     data = train.select(array_to_vector(F.col(view)).alias("features"), F.col("y").cast("double").alias("label"),
-                        F.col("w").cast("double").alias("w")).coalesce(FIT_TASKS)
+                        F.col("w").cast("double").alias("w"))
     fitted = LogisticRegression(maxIter=30, regParam=1e-3, weightCol="w").fit(data)
     return Linear([float(x) for x in fitted.coefficients.toArray()], float(fitted.intercept))
 
@@ -155,31 +155,31 @@ def _calibrated(linear: Linear, held: DataFrame, view: str) -> Linear:
     return linear
 
 
-def samples(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int, max_pool: int) -> DataFrame:
-    """The views ``t, m`` of bounded samples, with ``y`` (null in the pool) and
-    ``held`` for the labelled documents that only calibrate."""
+def views(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int) -> DataFrame:
+    """The views ``t, m`` of all unlabelled documents and of a bounded sample of
+    the others, staged by ``part``; ``y`` is null in the pool."""
     y = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
-    ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    h = F.xxhash64(F.col("doc_id"), F.lit("quality"))
-    marked = ids.join(y, "doc_id", "left").withColumn("h", h)
-    some = (marked.where("y is not null").orderBy("h").limit(max_labelled)
-            .unionByName(marked.where("y is null").orderBy("h").limit(max_pool)))
-    # at most max_labelled + max_pool ids
-    picked = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(some), "doc_id")
-    viewed = with_views(picked.select("doc_id", "text", "source", "lang", "n_chars", "y"), "t", "m")
-    return stage(viewed.select("doc_id", "y", "t", "m").withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0), "quality-samples")
+    some = (y.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64(F.col("doc_id"), F.lit("quality"))).limit(max_labelled)
+            .withColumn("part", F.when(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0, HELD).otherwise(FIT)))
+    told = y.select("doc_id").join(F.broadcast(some), "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(SPARE)))
+    viewed = with_views(docs.where("doc_id is not null").select("doc_id", "text", "source", "lang", "n_chars"), "t", "m")
+    small = viewed.select("doc_id", *[F.col(v).cast("array<float>").alias(v) for v in "tm"])
+    parts = small.join(told, "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(POOL))).where(F.col("part") != SPARE)
+    return stage(parts.select("y", "t", "m", "part"), "quality-views", "part")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: int = ROUNDS, sure: float = SURE,
-          max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model:
-    data = samples(docs, labels, label, max_labelled, max_pool)
-    counts = {(r.held, r.y): r.n for r in data.where("y is not null").groupBy("held", "y").agg(F.count("*").alias("n")).collect()}
+          max_labelled: int = MAX_LABELLED) -> Model:
+    data = views(docs, labels, label, max_labelled).withColumn("held", F.col("part") == HELD)
+    counts = {(r.held, r.y): r.n for r in data.where(F.col("part") != POOL).groupBy("held", "y").agg(F.count("*").alias("n")).collect()}
     good, total = sum(n for (_, y), n in counts.items() if y), sum(counts.values())
     prior = good / total if total else 1.0
     if any(not counts.get((held, y)) for held in (False, True) for y in (0, 1)):
+        drop_staged(data)
         return Model(None, None, prior)
-    labelled = data.where("y is not null and not held").withColumn("w", F.lit(1.0))
-    held, pool = data.where("y is not null and held"), data.where("y is null")
+    # the labelled sample is bounded, and each of the many steps of a fit runs a task for each partition
+    labelled = data.where(F.col("part") == FIT).withColumn("w", F.lit(1.0)).coalesce(FIT_TASKS)
+    held, pool = data.where(F.col("part") == HELD).coalesce(FIT_TASKS), data.where(F.col("part") == POOL)
     models: dict[str, Linear] = {}
     for n in range(rounds):
         for view, other in (("t", "m"), ("m", "t")):
@@ -191,6 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: in
                 more = labelled.unionByName(told.select(*labelled.columns))
             models[view] = _calibrated(_fit(more, view), held, view)
         last = dict(models)
+    drop_staged(data)
     return Model(models["t"], models["m"], prior)
 
 

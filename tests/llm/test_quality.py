@@ -45,3 +45,22 @@ def test_empty_table(spark, tmp_path):
     put(spark.createDataFrame([], DOCUMENTS), tmp_path)
     put(spark.createDataFrame([], LABELS), tmp_path, "labels")
     assert Q.query(spark, str(tmp_path)).count() == 0
+
+
+def test_all_confident_documents_of_the_pool_are_fitted(spark, monkeypatch):
+    """More unlabelled documents than any bound, each plainly good or bad."""
+    n = 24_000
+    good = F.col("doc_id") % 2 == 0
+    d = spark.range(n).select(F.col("id").alias("doc_id")).select(
+        "doc_id", F.when(good, F.lit("plain words of some length here and there, again.")).otherwise(F.lit("BUY!! NOW!! BUY!! NOW!!")).alias("text"),
+        F.lit("en").alias("lang"), F.when(good, F.lit("a")).otherwise(F.lit("b")).alias("source"), F.lit(30).cast("long").alias("n_chars"))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(200)], LABELS)
+    told, fit = [], Q._fit
+
+    def counting(train, view):
+        told.append(train.where("w < 1").count())
+        return fit(train, view)
+
+    monkeypatch.setattr(Q, "_fit", counting)
+    Q.train(d, labels, rounds=2)
+    assert max(told) == n - 200
