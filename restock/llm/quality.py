@@ -12,15 +12,18 @@ calibrated log-odds of the views add up, less the prior's, to the score of all
 documents. A document is kept if its probability of good quality is a half or
 more.
 
-Of the labelled documents, those ``max_labelled`` with the smallest hash of the
-id are used; the pool has no bound. The views of both are staged once, and fits
+Of the labelled documents, ``max_labelled`` are used: half of each class, or more
+where the other class has less, those with the smallest hash of the id, weighted
+so that each class counts as it does among all labels. Every fifth of a class in
+the order of the hash calibrates, the second first; a class of one document only
+trains, and then the views stay uncalibrated. The pool has no bound. The views of both are staged once, and fits
 are distributed over them. Scoring is one pass over all documents with the fitted
 weights, a few hundred numbers.
 
 A null text is empty; null metadata are values of their own. Documents labelled
 more than once take the mean, ties are good; null labels and ids don't train.
-Without two classes among the labels, every document gets the share of good
-ones (1 without labels) and nothing is learned.
+Without two classes among the labels, nothing can be learned: every document gets
+the share of good ones (1 without labels), and all are kept.
 """
 
 from __future__ import annotations
@@ -129,9 +132,16 @@ class Model:
     meta: Linear | None
     prior: float
 
+    @property
+    def learned(self) -> bool:
+        return self.text is not None and self.meta is not None
+
+    def keep(self, score: str) -> Column:
+        return F.col(score) >= KEEP if self.learned else F.lit(True)
+
     def scores(self, t: str, m: str) -> tuple[Column, Column, Column]:
         """Probabilities of good quality: by text, by metadata, together."""
-        if self.text is None or self.meta is None:
+        if not self.learned:
             return (F.lit(self.prior),) * 3
         sigmoid = lambda z: F.lit(1.0) / (F.exp(-z) + 1.0)
         a, b = self.text.logit(t), self.meta.logit(m)
@@ -149,36 +159,51 @@ def _fit(train: DataFrame, view: str) -> Linear:
 
 
 def _calibrated(linear: Linear, held: DataFrame, view: str) -> Linear:
-    one = held.select(F.array(linear.margin(view)).alias("z"), "y", F.lit(1.0).alias("w"))
+    one = held.select(F.array(linear.margin(view)).alias("z"), "y", "w")
     platt = _fit(one, "z")
     linear.a, linear.b = max(platt.weights[0], 1e-3), platt.intercept
     return linear
 
 
-def views(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int) -> DataFrame:
-    """The views ``t, m`` of all unlabelled documents and of a bounded sample of
-    the others, staged by ``part``; ``y`` is null in the pool."""
-    y = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
-    some = (y.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64(F.col("doc_id"), F.lit("quality"))).limit(max_labelled)
-            .withColumn("part", F.when(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0, HELD).otherwise(FIT)))
-    told = y.select("doc_id").join(F.broadcast(some), "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(SPARE)))
+def labelled_sample(y: DataFrame, max_labelled: int) -> tuple[list[tuple], dict[int, int]]:
+    """``(doc_id, part, weight)`` of the sample of ``y``, and the labelled
+    documents of each class."""
+    counts = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    out = []
+    for c, n in counts.items():
+        take = min(n, max(max_labelled // 2, max_labelled - counts.get(1 - c, 0)))
+        ids = y.where(F.col("y") == c).orderBy(F.xxhash64(F.col("doc_id"), F.lit("quality"))).limit(take).select("doc_id").collect()
+        out += [(r.doc_id, HELD if k % 5 == 1 else FIT, n / take) for k, r in enumerate(ids)]
+    return out, counts
+
+
+def views(docs: DataFrame, y: DataFrame, sample: list[tuple]) -> DataFrame:
+    """The views ``t, m`` of all unlabelled documents and of the sample of the
+    others, staged by ``part``; ``y`` and ``w`` are null in the pool."""
+    kind = y.schema["doc_id"].dataType.simpleString()
+    some = y.sparkSession.createDataFrame(sample, f"doc_id {kind}, part int, w double")
+    told = y.join(F.broadcast(some), "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(SPARE)))
     viewed = with_views(docs.where("doc_id is not null").select("doc_id", "text", "source", "lang", "n_chars"), "t", "m")
     small = viewed.select("doc_id", *[F.col(v).cast("array<float>").alias(v) for v in "tm"])
     parts = small.join(told, "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(POOL))).where(F.col("part") != SPARE)
-    return stage(parts.select("y", "t", "m", "part"), "quality-views", "part")
+    return stage(parts.select("y", "w", "t", "m", "part"), "quality-views", "part")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: int = ROUNDS, sure: float = SURE,
           max_labelled: int = MAX_LABELLED) -> Model:
-    data = views(docs, labels, label, max_labelled).withColumn("held", F.col("part") == HELD)
-    counts = {(r.held, r.y): r.n for r in data.where(F.col("part") != POOL).groupBy("held", "y").agg(F.count("*").alias("n")).collect()}
-    good, total = sum(n for (_, y), n in counts.items() if y), sum(counts.values())
+    y = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
+    y = stage(y.join(docs.select("doc_id"), "doc_id", "left_semi"), "quality-labels")
+    sample, counts = labelled_sample(y, max_labelled)
+    good, total = counts.get(1, 0), sum(counts.values())
     prior = good / total if total else 1.0
-    if any(not counts.get((held, y)) for held in (False, True) for y in (0, 1)):
-        drop_staged(data)
+    if not 0 < good < total:
+        drop_staged(y)
         return Model(None, None, prior)
+    data = views(docs, y, sample)
+    drop_staged(y)
+    calibrated = min(counts.values()) > 1
     # the labelled sample is bounded, and each of the many steps of a fit runs a task for each partition
-    labelled = data.where(F.col("part") == FIT).withColumn("w", F.lit(1.0)).coalesce(FIT_TASKS)
+    labelled = data.where(F.col("part") == FIT).coalesce(FIT_TASKS)
     held, pool = data.where(F.col("part") == HELD).coalesce(FIT_TASKS), data.where(F.col("part") == POOL)
     models: dict[str, Linear] = {}
     for n in range(rounds):
@@ -189,7 +214,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: in
                 edge = math.log(sure / (1 - sure))
                 told = pool.withColumn("z", z).where(F.abs("z") >= edge).withColumn("y", (F.col("z") > 0).cast("int")).withColumn("w", F.lit(0.5))
                 more = labelled.unionByName(told.select(*labelled.columns))
-            models[view] = _calibrated(_fit(more, view), held, view)
+            models[view] = _fit(more, view)
+            if calibrated:
+                models[view] = _calibrated(models[view], held, view)
         last = dict(models)
     drop_staged(data)
     return Model(models["t"], models["m"], prior)
@@ -207,12 +234,14 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
     out = score(docs.select("doc_id", "text", "source", "lang", "n_chars"), model, ("text_score", "meta_score", "score"))
-    return out.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= KEEP).alias("keep"))
+    return out.select("doc_id", "text_score", "meta_score", "score", model.keep("score").alias("keep"))
 
 
 def stage_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents whose probability of good quality is below a
     half go; the columns stay."""
     model = train(docs, table(spark, sf_dir, "labels"))
+    if not model.learned:
+        return docs
     names = tuple(unused_name(docs, f"quality_{x}") for x in "tms")
-    return score(docs, model, names).where(F.col(names[2]) >= KEEP).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return score(docs, model, names).where(model.keep(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -64,3 +64,26 @@ def test_all_confident_documents_of_the_pool_are_fitted(spark, monkeypatch):
     monkeypatch.setattr(Q, "_fit", counting)
     Q.train(d, labels, rounds=2)
     assert max(told) == n - 200
+
+
+def rare(spark, n_good, n_bad):
+    """Documents and labels; the bad ones come last."""
+    texts = ["plain words of some length here and there, again."] * n_good + ["BUY!! NOW!! BUY!! NOW!!"] * n_bad
+    return docs(spark, texts), spark.createDataFrame([(i, int(i < n_good), 0) for i in range(len(texts))], LABELS)
+
+
+@pytest.mark.parametrize("n_bad", [1, 2, 3])
+def test_a_rare_class_is_learned(spark, n_bad):
+    d, labels = rare(spark, 400, n_bad)
+    model = Q.train(d, labels, rounds=1, max_labelled=50)
+    assert model.prior == 400 / (400 + n_bad)
+    got = {r.doc_id: r.s for r in Q.score(d, model, ("a", "b", "s")).select("doc_id", "s").collect()}
+    assert max(got[400 + i] for i in range(n_bad)) < min(got[i] for i in range(400))
+
+
+def test_with_bad_labels_only_all_is_kept(spark, tmp_path):
+    d, labels = rare(spark, 0, 12)
+    put(d, tmp_path)
+    put(labels, tmp_path, "labels")
+    assert Q.stage_quality(spark, d, str(tmp_path)).count() == 12
+    assert all(r.keep for r in Q.query(spark, str(tmp_path)).collect())
