@@ -87,3 +87,14 @@ def test_with_bad_labels_only_all_is_kept(spark, tmp_path):
     put(labels, tmp_path, "labels")
     assert Q.stage_quality(spark, d, str(tmp_path)).count() == 12
     assert all(r.keep for r in Q.query(spark, str(tmp_path)).collect())
+
+
+def test_each_source_and_language_counts_for_itself(spark):
+    """Texts are alike; every other one of 200 sources is bad, and of 'es' and 'de' one."""
+    rows = [(i, "some words", "es" if i % 2 else "de", f"host{i % 200}", 10) for i in range(1200)]
+    d = spark.createDataFrame(rows, DOCUMENTS)
+    for good in (lambda i: i % 200 // 2 % 2 == 0, lambda i: i % 2 == 0):
+        labels = spark.createDataFrame([(i, int(good(i)), 0) for i in range(1000)], LABELS)
+        model = Q.train(d, labels, rounds=1)
+        got = {r.doc_id: r.b for r in Q.score(d, model, ("a", "b", "s")).select("doc_id", "b").collect()}
+        assert all((got[i] > 0.5) == good(i) for i in range(1000, 1200))
