@@ -5,8 +5,8 @@ Vectors are stored in blocks of rows; each block holds a forest: for each of
 seed) as a sorted array. A query visits every block: in each tree it descends to
 the longest prefix that some row shares with its own hash string, and then all
 trees ascend together, one bit at a time, until the rows that share the present
-prefix in some tree are at least ``share`` of the block. These candidates are
-scored exactly (cosine in double precision), and the best of all blocks remain.
+prefix in some tree are at least ``share`` of the block, and ``k`` besides those of
+the query's id. These candidates are scored exactly (cosine in double precision), and the best of all blocks remain.
 
 Queries come in blocks too, and each is sent to the vector blocks, so a task
 holds one block of either and emits ``k`` rows for each query and block.
@@ -17,7 +17,8 @@ candidates do.
 Vectors that are null, zero or hold null or non-finite components take no part,
 nor do rows without an id. A query's own row, by id, is no candidate, nor are
 repeated rows of its id; repeated rows of another id are one candidate each.
-Ties go to the smaller id. Vectors of different lengths are compared with those
+Ties go to the smaller id. Each different vector of a query's id
+asks, and the best of what all of them find remain. Vectors of different lengths are compared with those
 of the query's length only.
 """
 
@@ -172,7 +173,7 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str =
            depth: int = DEPTH, share: float = SHARE, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's nearest rows of ``df``."""
     index = stage(blocks(usable(df, key, vector), block, lambda vs: forest(vs, trees, depth, seed), "hashes binary, orders binary"), "forest")
-    asked = stage(blocks(usable(queries, key, vector).dropDuplicates(["id"]), QUERIES), "queries")
+    asked = stage(blocks(usable(queries, key, vector).dropDuplicates(["id", "v"]), QUERIES), "queries")
 
     def run(batches):
         for b in batches:
@@ -185,7 +186,8 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str =
                 units, q_units = unit(vs), unit(qs)
                 out: list[list] = [[], [], []]
                 for i, q in enumerate(qi):
-                    found = candidates(sorted_, orders, asked_[:, i], int(np.ceil(share * len(ids))), depth)
+                    least = max(int(np.ceil(share * len(ids))), min(len(ids), k + np.count_nonzero(ids == q)))
+                    found = candidates(sorted_, orders, asked_[:, i], least, depth)
                     own = np.flatnonzero(found & (ids != q))
                     rough = units[own] @ q_units[i]
                     if len(own) > k:  # all that may be among the best despite rounding

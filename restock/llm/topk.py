@@ -18,7 +18,8 @@ Components are floor(256 x). Sums are exact: in doubles while they stay below
 the nearest long. Vectors that are null or hold null or non-finite components
 take no part, nor do rows without an id or component; zero vectors do. A query's
 own row, by id, is no candidate; repeated rows of another id are one candidate
-each; ties go to the smaller id. Vectors of different lengths are compared with
+each; ties go to the smaller id. Each different vector (of whole components) of a
+query's id asks, and the best of what all of them find remain. Vectors of different lengths are compared with
 those of the query's length only.
 """
 
@@ -85,7 +86,8 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str =
            block: int = BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's best rows of ``df``."""
     index = stage(blocks(usable(df, key, vector, zero=True), block), "vectors")
-    asked = stage(usable(queries, key, vector, zero=True).dropDuplicates(["id"]), "asked")
+    floored = F.transform("v", lambda x: F.when(F.abs(x) < 2.0**45, F.floor(x * 256).cast("double") / 256).otherwise(x))
+    asked = stage(usable(queries, key, vector, zero=True).withColumn("v", floored).dropDuplicates(["id", "v"]), "asked")
 
     def lists(batches):
         for ids, vs, qi, qs, _ in _pairs(batches, ()):

@@ -76,3 +76,18 @@ def test_ascent_covers_all_prefixes():
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
     assert A.query(spark, str(tmp_path)).count() == 0
+
+
+def test_few_rows_at_the_production_share(spark, tmp_path):
+    """Of up to ten rows each query gets k others, or all if fewer."""
+    rng = np.random.default_rng(5)
+    rows = [(50 * dim + i, rng.standard_normal(dim).tolist(), 0) for dim, n in ((4, 4), (8, 8), (10, 10)) for i in range(n)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = by_query(A.query(spark, str(tmp_path)))
+    assert {q: len(x) for q, x in got.items()} == {200: 3, 400: 5, 500: 5}
+
+
+def test_different_vectors_of_a_query_all_ask(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0)], SCHEMA)
+    got = by_query(A.search(df, df.where("vec_id = 0"), k=2))
+    assert got == {0: [(1, 1, 1.0), (2, 2, 1.0)]}

@@ -60,3 +60,11 @@ def test_odd_vectors(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
     assert T.query(spark, str(tmp_path)).count() == 0
+
+
+def test_different_vectors_of_a_query_all_ask(spark, tmp_path):
+    rows = [(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (0, [0.001, 1.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (3, [0.5, 0.25], 0)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got(T.query(spark, str(tmp_path))) == set(con.execute(T.ORACLE).fetchall())
