@@ -7,9 +7,9 @@ Offsets are code points, ends exclusive.
 
 * base kinds (:data:`KINDS`): leftmost non-overlapping matches of a pattern;
   matches that fail the kind's length test are dropped after matching;
-* ``markov``: maximal runs of identifier characters, :data:`MIN_LENGTH` or more,
-  that hold a letter, overlap no base span, and whose characters are more
-  likely by at least ``min_llr`` nats under the model of random strings. Runs of
+* ``markov``: maximal runs of identifier characters, less the base spans in them;
+  the pieces of :data:`MIN_LENGTH` or more that hold a letter, and whose
+  characters are more likely by at least ``min_llr`` nats under the model of random strings. Runs of
   digits and signs alone (order, card and phone numbers) are no candidates.
 
 Both models are first-order chains over the identifier characters, with a start
@@ -165,6 +165,22 @@ def llr(token: Column, model: list[float]) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x)
 
 
+def _outside(span: Column, base: Column) -> Column:
+    """The pieces of ``span`` outside the base spans, of the least length or more."""
+    item = "struct<start:int,kind:int,end:int,value:string>"
+
+    def with_piece(acc, end):
+        at, n = acc["at"], end - acc["at"]
+        piece = F.struct(at.alias("start"), span["kind"].alias("kind"), end.alias("end"),
+                         span["value"].substr(at - span["start"] + 1, n).alias("value"))
+        return F.when(n >= MIN_LENGTH, F.array_append(acc["out"], piece)).otherwise(acc["out"])
+
+    start = F.struct(span["start"].alias("at"), F.array().cast(f"array<{item}>").alias("out"))
+    touching = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    return F.aggregate(touching, start, lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), with_piece(acc, b["start"]).alias("out")),
+                       lambda acc: with_piece(acc, span["end"]))
+
+
 def scan(df: DataFrame, model: list[float], text: str = "text", out: str = "spans", min_llr: float = MIN_LLR) -> DataFrame:
     """Adds ``out``: an array of (start, kind, end) by start, then kind; kinds
     are numbered as in :data:`KINDS`, ``markov`` comes last."""
@@ -173,8 +189,8 @@ def scan(df: DataFrame, model: list[float], text: str = "text", out: str = "span
     df = df.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     df = base_spans(df, t, base)
     df = _with_spans(df, t, cand, f"({TOKEN})", len(KINDS), MIN_LENGTH, 1)
-    df = df.withColumn(cand, F.filter(cand, lambda s: s["value"].rlike("[A-Za-z]")
-                                      & ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+    df = df.withColumn(cand, F.flatten(F.transform(cand, lambda s: _outside(s, F.col(base)))))
+    df = df.withColumn(cand, F.filter(cand, lambda s: s["value"].rlike("[A-Za-z]")))
     df = df.withColumn(cand, F.filter(cand, lambda s: llr(s["value"], model) >= min_llr))
     bare = F.transform(F.array_sort(F.concat(base, cand)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return df.select(*cols, bare.alias(out))
