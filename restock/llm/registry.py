@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from restock.llm import (ann, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, suffix_dedup, topk)
+from restock.llm import (ann, bpe, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, suffix_dedup, topk)
 
 
 def _pipeline(spark, sf_dir: str):
@@ -23,6 +23,7 @@ def queries() -> dict:
         "op8_ann_forest": ann.query,
         "op9_exact_topk": topk.query,
         "op10_merge_dropout": merge_dropout.query,
+        "op11_bpe": bpe.query,
         "pipeline": _pipeline,
     }
 
