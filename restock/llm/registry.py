@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from restock.llm import (ann, bpe, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, suffix_dedup, topk)
+from restock.llm import (ann, bpe, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, spelling,
+                         suffix_dedup, topk)
 
 
 def _pipeline(spark, sf_dir: str):
@@ -24,9 +25,10 @@ def queries() -> dict:
         "op9_exact_topk": topk.query,
         "op10_merge_dropout": merge_dropout.query,
         "op11_bpe": bpe.query,
+        "op12_spelling_variants": spelling.query,
         "pipeline": _pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": topk.ORACLE}
+    return {"op9_exact_topk": topk.ORACLE, "op12_spelling_variants": spelling.ORACLE}
