@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from restock.llm import (ann, bpe, langid, merge_dropout, packing, quality, reshard, secret_scan, simhash, spelling,
-                         suffix_dedup, topk)
+                         suffix_dedup, topk, trie)
 
 
 def _pipeline(spark, sf_dir: str):
@@ -26,9 +26,11 @@ def queries() -> dict:
         "op10_merge_dropout": merge_dropout.query,
         "op11_bpe": bpe.query,
         "op12_spelling_variants": spelling.query,
+        "op13_prefix_trie": trie.query,
         "pipeline": _pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": topk.ORACLE, "op12_spelling_variants": spelling.ORACLE}
+    return {"op9_exact_topk": topk.ORACLE, "op12_spelling_variants": spelling.ORACLE,
+            "op13_prefix_trie": trie.ORACLE}
