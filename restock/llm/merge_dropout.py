@@ -12,10 +12,15 @@ dropout the ids are those of the library.
 
 Merges cannot cross from one segment of a text to the next (:class:`Encoder`
 derives the segments from the vocabulary: a cut lies where no piece joins the
-two characters), so segments are encoded apart and remembered. The key of the
-hash has one of ``variants`` values for each occurrence, from the document's
-number and the segment's place in it, so the same word is split differently in
-different places while memory stays bounded.
+two characters), so segments are encoded apart. The key of the hash has the seed,
+the document, the segment's place in it, the symbol's place in the segment and
+the piece, so each occurrence of a word is skipped for itself. What is remembered
+(in a bounded cache) doesn't depend on the key: a segment's candidates, in order,
+and its ids without a skip. The hashes of all occurrences are tested against these
+candidates at once; an occurrence without a skip takes the remembered ids, the
+others go through the agenda, thousands of them side by side: in each step, every
+segment takes its best candidate and skips or merges it. Segments of more than
+``LONG`` symbols have a heap each.
 
 A null or empty text has no ids. Texts are encoded whole; repeated rows (same id
 and text) are encoded alike.
@@ -38,11 +43,11 @@ from restock.llm.common import table, text_runs, utf8
 
 BLANK = "▁"
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 20
-CACHE = 1_000_000  # segments remembered by a worker, about 200 bytes each
-LONG = 64  # symbols from which the agenda is a heap
-NEVER = 1 << 31
+CACHE = 700_000  # segments remembered by a worker, about 300 bytes each
+LONG = 64  # symbols beyond which the agenda is a heap
+ROWS = 1 << 14  # segments side by side
+NEVER = (1 << 31) - 1
 WORD = (1 << 64) - 1
 
 
@@ -52,19 +57,65 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class Memo(dict):
-    """Ids of the segments under one variant of the key."""
-
-    def __init__(self, encoder, variant: int):
-        self.encoder, self.variant = encoder, variant
-
-    def __missing__(self, segment: str) -> bytes:
-        out = self[segment] = self.encoder.merge(segment, self.variant)
-        return out
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """Keys of occurrences, from the document's number plus the segment's place."""
+    keys = keys * np.uint64(0xD6E8FEB86659FD93)
+    keys ^= keys >> np.uint64(32)
+    keys *= np.uint64(0xD6E8FEB86659FD93)
+    return keys ^ keys >> np.uint64(32)
+
+
+def hashed(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The keyed hash of candidates, given as place << 32 | cost; see ``_skipped``."""
+    h = (keys ^ codes) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h * np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Pairs:
+    """Cost and piece of pairs of symbols: a table with open addressing, looked
+    up for many pairs at once."""
+
+    def __init__(self, found: dict[tuple[int, int], tuple[int, int]]):
+        keys = np.array([a << 32 | b for a, b in found], np.uint64)
+        values = np.array(list(found.values()), np.int32).reshape(-1, 2)
+        self.shift = np.uint64(64 - max(4, (8 * len(found)).bit_length()))
+        size = 1 << 64 - int(self.shift)
+        self.keys = np.full(size, (1 << 64) - 1, np.uint64)
+        self.values = np.zeros((size, 2), np.int32)
+        self.probes = 0
+        left = np.arange(len(keys))
+        while len(left):
+            at = self._slot(keys[left], self.probes)
+            self.probes += 1
+            free = left[self.keys[at] == (1 << 64) - 1]
+            at = self._slot(keys[free], self.probes - 1)
+            at, first = np.unique(at, return_index=True)
+            self.keys[at], self.values[at] = keys[free[first]], values[free[first]]
+            left = np.setdiff1d(left, free[first])
+
+    def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        at = (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        return (at + probe) & (len(self.keys) - 1)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Costs (``NEVER`` for no piece) and pieces."""
+        keys = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        cost, made = np.full(len(keys), NEVER, np.int32), np.zeros(len(keys), np.int32)
+        left = np.arange(len(keys))
+        for probe in range(self.probes):
+            at = self._slot(keys[left], probe)
+            there = self.keys[at]
+            hit = there == keys[left]
+            cost[left[hit]], made[left[hit]] = self.values[at[hit]].T
+            left = left[~hit & (there != (1 << 64) - 1)]
+            if not len(left):
+                break
+        return cost, made
 
 
 class Encoder:
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -88,8 +139,22 @@ class Encoder:
         if None in self.bytes_:
             raise ValueError("the model has no pieces for single bytes")
         self.limit = int(dropout * 2**64)
-        self.seed, self.variants = seed, variants
-        self.memos = [Memo(self, v) for v in range(variants)]
+        self.seed = seed
+        self.memo: dict[str, tuple[bytes, bytes]] = {}  # segment -> ids and candidates without a skip
+        # symbols as numbers: pieces by their ids, other characters from n on
+        self.n = n
+        self.symbol_of = np.arange(n, n + 0x110000, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = i
+        symbol = lambda s: self.ids.get(s, n + ord(s) if len(s) == 1 else None)
+        pairs = {}
+        for piece, i in self.ids.items():
+            for k in range(1, len(piece)):
+                a, b = symbol(piece[:k]), symbol(piece[k:])
+                if a is not None and b is not None:
+                    pairs[a, b] = self.cost[piece], i
+        self.pairs = Pairs(pairs)
         self.segments = self._segments()
         self.blank_bytes = np.array([self.bytes_[b] for b in BLANK.encode()], "<u4").tobytes()
 
@@ -115,18 +180,94 @@ class Encoder:
         runs = ["[" + re.escape("".join(sorted(c))) + "]+" for c in sorted(classes.values(), key=len, reverse=True) if len(c) > 1 or any(x[0] * 2 in self.ids for x in c)]
         return re.compile(f"{BLANK}*(?:{'|'.join([*runs, f'[^{BLANK}]'])})|{BLANK}+", re.S).findall
 
-    def merge(self, segment: str, variant: int) -> bytes:
-        """Agenda processing of one segment."""
-        key = xxhash.xxh64_intdigest(segment.encode(), self.seed * self.variants + variant)
-        sym = self._short(segment, key) if len(segment) <= LONG else self._long(segment, key)
-        return b"".join([self.packed.get(s) or self._bytes(s) for s in sym])
+    def merge(self, segment: str, key: int) -> bytes:
+        """Agenda processing of one segment under a key."""
+        return self._joined(self._short(segment, key) if len(segment) <= LONG else self._long(segment, key))
+
+    def _joined(self, symbols: list[str]) -> bytes:
+        return b"".join([self.packed.get(s) or self._bytes(s) for s in symbols])
+
+    def agenda(self, segments: list[str], keys: np.ndarray | None) -> tuple[list[bytes], list[bytes]]:
+        """Ids of segments of up to ``LONG`` symbols, and the candidates that each
+        took from its agenda, in order; without keys none is skipped."""
+        ids, codes = [b""] * len(segments), [b""] * len(segments)
+        sizes = np.array([len(s) for s in segments])
+        by = np.argsort(sizes, kind="stable")
+        for k in range(0, len(by), ROWS):
+            some = by[k : k + ROWS]
+            own = [segments[i] for i in some.tolist()]
+            for i, x, c in zip(some.tolist(), *self._side_by_side(own, sizes[some], None if keys is None else keys[some])):
+                ids[i], codes[i] = x, c
+        return ids, codes
+
+    def _side_by_side(self, segments: list[str], sizes: np.ndarray, keys: np.ndarray | None):
+        rows_, width = len(segments), int(sizes[-1])
+        there = np.arange(width) < sizes[:, None]
+        sym = np.full((rows_, width), -1, np.int32)
+        sym[there] = self.symbol_of[np.frombuffer("".join(segments).encode("utf-32-le"), "<u4")]
+        after = np.tile(np.arange(1, width + 1), (rows_, 1))
+        before = np.tile(np.arange(-1, width - 1), (rows_, 1))
+        cost, made = np.full((rows_, width), NEVER, np.int32), np.zeros((rows_, width), np.int32)
+        r, i = np.nonzero(there[:, 1:])
+        cost[r, i], made[r, i] = self.pairs(sym[r, i], sym[r, i + 1])
+        row = np.arange(rows_)
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(row):
+            i = cost[row].argmin(axis=1)
+            c = cost[row, i]
+            open_ = c != NEVER
+            row, i, c = row[open_], i[open_], c[open_]
+            code = i.astype(np.uint64) << np.uint64(32) | c.astype(np.uint64)
+            if keys is None:
+                taken.append((row, code))
+                r = row
+            else:
+                skip = hashed(keys[row], code) <= np.uint64(self.limit - 1)
+                cost[row[skip], i[skip]] = NEVER
+                r, i = row[~skip], i[~skip]
+            j = after[r, i]
+            k = after[r, j]
+            sym[r, i] = piece = made[r, i]
+            sym[r, j] = -1
+            cost[r, j] = NEVER
+            after[r, i] = k
+            more = k < sizes[r]
+            cost[r, i] = NEVER
+            x, y, z = r[more], i[more], k[more]
+            before[x, z] = y
+            cost[x, y], made[x, y] = self.pairs(piece[more], sym[x, z])
+            g = before[r, i]
+            more = g >= 0
+            x, y = r[more], g[more]
+            cost[x, y], made[x, y] = self.pairs(sym[x, y], piece[more])
+        return self._ids_of(sym), self._in_rows(taken, rows_)
+
+    def _ids_of(self, sym: np.ndarray) -> list[bytes]:
+        alive = sym >= 0
+        flat = sym[alive]
+        ends = np.cumsum(alive.sum(axis=1)) * 4
+        data = flat.astype("<u4").tobytes()
+        out = [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for i in np.flatnonzero((sym >= self.n).any(axis=1)).tolist():  # characters that are no piece
+            out[i] = b"".join([np.array([s], "<u4").tobytes() if s < self.n else self._bytes(chr(s - self.n)) for s in sym[i][alive[i]].tolist()])
+        return out
+
+    @staticmethod
+    def _in_rows(taken, rows_: int) -> list[bytes]:
+        if not taken:
+            return [b""] * rows_
+        row = np.concatenate([r for r, _ in taken])
+        order = np.argsort(row, kind="stable")
+        data = np.concatenate([c for _, c in taken])[order].astype("<u8").tobytes()
+        ends = np.cumsum(np.bincount(row, minlength=rows_)) * 8
+        return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def _bytes(self, symbol: str) -> bytes:
         return np.array([self.bytes_[b] for b in symbol.encode()], "<u4").tobytes()
 
     def _skipped(self, place: int, cost: int, key: int) -> bool:
         """The keyed hash of a candidate, below the limit; the key has the seed,
-        the variant and the segment, and the cost stands for the piece."""
+        the document and the segment's place, and the cost stands for the piece."""
         h = (key ^ (place << 32 | cost)) * 0x9E3779B97F4A7C15 & WORD
         return ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & WORD) < self.limit
 
@@ -182,26 +323,63 @@ class Encoder:
 
     def encode(self, text: str, number: int = 0) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers; ``number``: the
-        document's, for the key."""
-        if not text:
-            return b""
-        out, place = [], number * 0x9E3779B97F4A7C15 & (1 << 64) - 1
-        for k, part in enumerate(text.split(BLANK)):
-            if k:
-                out.append(self.blank_bytes)
-            marked = (BLANK if k == 0 else "") + part.replace(" ", BLANK)
-            segments = self.segments(marked)
-            which = np.arange(len(segments), dtype=np.uint64) + np.uint64(place)
-            which ^= which >> np.uint64(31)
-            which *= np.uint64(0xBF58476D1CE4E5B9)
-            which = (which >> np.uint64(40)) % np.uint64(self.variants)
-            memos = self.memos
-            out.extend([memos[v][s] for v, s in zip(which.tolist(), segments)])
-            place = (place + len(segments)) & (1 << 64) - 1
-        if sum(map(len, self.memos)) > CACHE:
-            for memo in self.memos:
-                memo.clear()
-        return b"".join(out)
+        document's, of 64 bits, for the key."""
+        return self.encode_all([text], [number])[0]
+
+    def encode_all(self, texts: list[str], numbers: list[int]) -> list[bytes]:
+        """Ids of some texts, whose segments are processed together."""
+        segments: list[str] = []
+        bases: list[int] = []
+        cuts: list[tuple[int, bool]] = []  # of each part of a text: where its segments end, and whether the text does
+        for text, number in zip(texts, numbers):
+            begun = len(segments)
+            parts = text.split(BLANK)
+            for k, part in enumerate(parts):
+                if text:
+                    segments += self.segments((BLANK if k == 0 else "") + part.replace(" ", BLANK))
+                cuts.append((len(segments), k == len(parts) - 1))
+            bases += [xxhash.xxh64_intdigest(number.to_bytes(8, "little"), self.seed) - begun & WORD] * (len(segments) - begun)
+        ids = self._encoded(segments, mixed(np.array(bases, np.uint64) + np.arange(len(segments), dtype=np.uint64)))
+        out, own, at = [], [], 0
+        for end, whole in cuts:
+            own += ids[at:end]
+            at = end
+            if whole:
+                out.append(b"".join(own))
+                own = []
+            else:
+                own.append(self.blank_bytes)
+        return out
+
+    def _encoded(self, segments: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of occurrences of segments under their keys."""
+        if not segments:
+            return []
+        memo = self.memo
+        new = set(segments).difference(memo)
+        long = {s for s in new if len(s) > LONG}
+        new -= long
+        if len(memo) + len(new) > CACHE:
+            memo.clear()
+            new = set(segments) - long
+        if new:
+            some = list(new)
+            memo.update(zip(some, zip(*self.agenda(some, None))))
+        if long:
+            known = [memo[s] if s not in long else (self.merge(s, k), b"") for s, k in zip(segments, keys.tolist())]
+        else:
+            known = [memo[s] for s in segments]
+        ids = [x[0] for x in known]
+        for at in range(0, len(segments) if self.limit else 0, ROWS):
+            codes = [x[1] for x in known[at : at + ROWS]]
+            sizes = np.fromiter(map(len, codes), np.int64, len(codes)) >> 3
+            hit = hashed(np.repeat(keys[at : at + ROWS], sizes), np.frombuffer(b"".join(codes), "<u8")) <= np.uint64(self.limit - 1)
+            ends = np.cumsum(sizes)
+            which = at + np.unique(np.searchsorted(ends, np.flatnonzero(hit), "right"))
+            found, _ = self.agenda([segments[i] for i in which.tolist()], keys[which])
+            for i, x in zip(which.tolist(), found):
+                ids[i] = x
+        return ids
 
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.out.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -209,20 +387,24 @@ class Encoder:
 
 
 @lru_cache(8)
-def encoder(path: str, dropout: float, seed: int, variants: int) -> Encoder:
-    return Encoder(path, dropout, seed, variants)
+def encoder(path: str, dropout: float, seed: int) -> Encoder:
+    return Encoder(path, dropout, seed)
+
+
+def number_of(key) -> int:
+    """A document's number of 64 bits, from its id."""
+    return xxhash.xxh64_intdigest(str(key).encode())
 
 
-def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS) -> DataFrame:
+def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``(key, ids binary)``: little-endian unsigned 32-bit ids of every text."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
-        e = encoder(path, dropout, seed, variants)
+        e = encoder(path, dropout, seed)
         for batch, a, b in text_runs(batches):
             keys = batch.column("key").slice(a, b - a)
-            out = [e.encode(t.decode(), zlib.crc32(str(k).encode())) for k, t in zip(keys.to_pylist(), utf8(batch, a, b))]
+            out = e.encode_all([t.decode() for t in utf8(batch, a, b)], [number_of(k) for k in keys.to_pylist()])
             yield pa.RecordBatch.from_arrays([keys, pa.array(out, pa.binary())], ["key", "ids"])
 
     return (df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, ids binary")
@@ -236,7 +418,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema)
 
     def run(batches):
-        e = encoder(path, 0.0, 0, 1)
+        e = encoder(path, 0.0, 0)
         for b in batches:
             texts = [None if x is None else e.decode(x) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
@@ -251,12 +433,12 @@ def query(spark, sf_dir: str) -> DataFrame:
     path = model_path()
 
     def run(batches):
-        e = encoder(path, DROPOUT, SEED, VARIANTS)
+        e = encoder(path, DROPOUT, SEED)
         for batch, a, b in text_runs(batches):
             keys = batch.column("doc_id").slice(a, b - a)
             out: list[list] = [[], [], [], []]
-            for k, t in zip(keys.to_pylist(), utf8(batch, a, b)):
-                ids = e.encode(t.decode(), zlib.crc32(str(k).encode()))
+            texts = utf8(batch, a, b)
+            for t, ids in zip(texts, e.encode_all([t.decode() for t in texts], [number_of(k) for k in keys.to_pylist()])):
                 for o, x in zip(out, (len(ids) // 4, zlib.crc32(ids), zlib.crc32(t), zlib.crc32(e.decode(ids).encode()))):
                     o.append(x)
             yield pa.RecordBatch.from_arrays([keys, *(pa.array(o, pa.int64()) for o in out)],
