@@ -28,6 +28,9 @@ Strings lie within one document and are judged on the input.
 The scans hold a bounded number of entries. Whole copies of a text are settled first, by
 SHA-256: all but those with the smallest id are removed entirely (if of 100
 bytes or more) and take no further part, so a large group of copies is one text.
+Entries that many texts share are reduced before they are shuffled: a task marks
+those it has had at an earlier place, and passes on the others. Different entries
+of a frequent gram are spread by their bytes.
 
 A null text is empty; a null id comes after all others; rows that share an id
 are told apart by their texts, and repeated rows (same id and text) are one
@@ -52,6 +55,9 @@ BATCHES = 4
 CHUNK = 1 << 23  # bytes scanned at once; positions have 24 bits
 LAST_ID = (1 << 63) - 1
 RANGE = "array<struct<a:int,b:int>>"
+SINGLE, AGAIN, SEVERAL, WITNESS = range(4)  # kinds of the rows of entries()
+FOUND = "gram long, rid long, a int, p int, b int, kind int"
+SEEN = 200_000  # entries that a task remembers to reduce equal ones
 
 
 def select(data: bytes, starts: np.ndarray, length: int, gram: int):
@@ -91,9 +97,12 @@ def select(data: bytes, starts: np.ndarray, length: int, gram: int):
 
 
 def entries(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(gram, rid, a, p, b, again)`` from ``(rid, text)``: the strings that
+    """``(gram, rid, a, p, b, kind)`` from ``(rid, text)``: the strings that
     start at a..b select position p. Entries whose bytes are an entry earlier in
-    the text already come as ranges of such strings, marked ``again``."""
+    the text already come as ranges of such strings, ``AGAIN``. Entries whose
+    hash is that of another one in the same task's present texts are known to
+    recur: they are ``SEVERAL`` and need not meet the others of that hash, for
+    which one ``WITNESS`` goes instead, so that frequent ones are spread."""
     def run(batches):
         for batch, i, j in text_runs(batches):
             rid = batch.column("rid").slice(i, j - i).to_numpy()
@@ -135,23 +144,28 @@ def entries(texts: DataFrame, length: int, gram: int) -> DataFrame:
             open_ = np.r_[True, (doc[x[1:]] != doc[x[:-1]]) | (a[x[1:]] > b[x[:-1]] + length)]
             first, last = x[open_], x[np.r_[np.flatnonzero(open_)[1:] - 1, len(x) - 1]]
             spread = (rid[doc[first]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (a[first].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
-            yield batch_of(spread.view(np.int64), rid[doc[first]], a[first] + base[first], a[first] + base[first], b[last] + base[first], True)
+            yield batch_of(spread.view(np.int64), rid[doc[first]], a[first] + base[first], a[first] + base[first], b[last] + base[first], AGAIN)
         x = np.flatnonzero(~again)
         if len(x):
-            yield batch_of(h[x], rid[doc[x]], a[x] + base[x], p[x] + base[x], b[x] + base[x], False)
+            grams, back, n = np.unique(h[x], return_inverse=True, return_counts=True)
+            yield batch_of(h[x], rid[doc[x]], a[x] + base[x], p[x] + base[x], b[x] + base[x], np.where(n[back] > 1, SEVERAL, SINGLE))
+            if len(grams := grams[n > 1]):
+                zero = np.zeros(len(grams), np.int64)
+                yield batch_of(grams, zero, zero, zero, zero, WITNESS)
 
-    def batch_of(h, rid, a, p, b, again):
+    def batch_of(h, rid, a, p, b, kind):
         return pa.RecordBatch.from_arrays(
-            [pa.array(h), pa.array(rid), *(pa.array(x.astype(np.int32)) for x in (a, p, b)), pa.array(np.full(len(h), again))],
-            ["gram", "rid", "a", "p", "b", "again"])
+            [pa.array(h), pa.array(rid), *(pa.array(np.broadcast_to(x, len(h)).astype(np.int32)) for x in (a, p, b, kind))],
+            ["gram", "rid", "a", "p", "b", "kind"])
 
-    return texts.select("rid", "text").mapInArrow(run, "gram long, rid long, a int, p int, b int, again boolean")
+    return texts.select("rid", "text").mapInArrow(run, FOUND)
 
 
 def recurring(found: DataFrame) -> DataFrame:
     """The entries whose selected bytes (by their hash) are not those of one
     entry alone, and all that repeat within their text: one pass over the
-    entries in the order of the hash, a batch of light rows at a time."""
+    entries in the order of the hash, a batch of light rows at a time. What is
+    known to recur already passes wherever it is."""
     def run(batches):
         last, before = None, None  # the last row so far, and the hash before it
         for batch in batches:
@@ -160,38 +174,56 @@ def recurring(found: DataFrame) -> DataFrame:
             held = batch if last is None else pa.concat_batches([last, batch])
             g = held.column(0).to_numpy()
             same = g[1:] == g[:-1]
-            again = held.column(5).to_numpy(zero_copy_only=False)
-            keep = np.r_[same, False] | np.r_[before is not None and before == g[0], same] | again
+            kind = held.column(5).to_numpy()
+            keep = np.r_[same, False] | np.r_[before is not None and before == g[0], same]
+            keep = (keep | (kind == AGAIN) | (kind == SEVERAL)) & (kind != WITNESS)
             # the last row waits for its successor
             out = held.slice(0, len(g) - 1).filter(pa.array(keep[:-1]))
             if out.num_rows:
                 yield out
             before = g[-2] if len(g) > 1 else before
             last = held.slice(len(g) - 1)
-        if last is not None and (last.column(5)[0].as_py() or before == last.column(0)[0].as_py()):
-            yield last
+        if last is not None:
+            kind = last.column(5)[0].as_py()
+            if kind in (AGAIN, SEVERAL) or kind == SINGLE and before == last.column(0)[0].as_py():
+                yield last
 
-    schema = "gram long, rid long, a int, p int, b int, again boolean"
-    return found.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, schema)
+    to = F.when(F.col("kind") == SEVERAL, F.xxhash64("rid", "p")).otherwise(F.col("gram"))
+    return found.repartition(to).sortWithinPartitions("gram").mapInArrow(run, FOUND)
 
 
 def with_bytes(found: DataFrame, length: int) -> DataFrame:
-    """``(gram, suffix, left, rid, p)`` from ``(rid, text, list of entries)``."""
+    """``(gram, suffix, left, rid, p, a, b)`` from ``(rid, text, list of entries)``.
+    An entry whose bytes the task has had at an earlier place is a repeat: it comes
+    as the bytes a..b of its text, without suffix. So an entry that many texts
+    share goes on a few times a task, not once a text."""
+    import xxhash
+
     def run(batches: Iterator[pa.RecordBatch]):
+        seen: dict[bytes, tuple[int, int]] = {}  # entry -> its earliest place so far
+        out: list[list] = [[] for _ in SCAN_ARROW]
         for batch, i, j in text_runs(batches):
-            out: list[list] = [[], [], [], [], []]
             rid = batch.column("rid").slice(i, j - i).to_pylist()
             for r, t, es in zip(rid, utf8(batch, i, j), batch.column("es").slice(i, j - i).to_pylist()):
                 for e in es:
-                    for o, x in zip(out, (e["gram"], t[e["p"] : e["b"] + length], t[e["a"] : e["p"]], r, e["p"])):
+                    a, p, b = e["a"], e["p"], e["b"] + length
+                    key = xxhash.xxh3_128_digest(t[a:b], p - a)
+                    place = (r, p)
+                    first = seen.get(key)
+                    again = first is not None and first < place
+                    if not again:
+                        seen[key] = place
+                    for o, x in zip(out, (e["gram"], None if again else t[p:b], None if again else t[a:p], r, p, a, b)):
                         o.append(x)
+                if len(seen) > SEEN:
+                    seen.clear()
                 if len(out[0]) >= 20_000:
-                    yield rows(SEGMENT_ARROW, out)
-                    out = [[], [], [], [], []]
-            if out[0]:
-                yield rows(SEGMENT_ARROW, out)
+                    yield rows(SCAN_ARROW, out)
+                    out = [[] for _ in SCAN_ARROW]
+        if out[0]:
+            yield rows(SCAN_ARROW, out)
 
-    return found.select("rid", "text", "es").mapInArrow(run, SEGMENT)
+    return found.select("rid", "text", "es").mapInArrow(run, SEGMENT + ", a int, b int")
 
 
 SEGMENT_NAMES = ["gram", "suffix", "left", "rid", "p"]
@@ -230,8 +262,10 @@ def merge_scan(batch: DataFrame, levels: list[DataFrame]) -> DataFrame:
             if cols[0]:
                 yield rows(SCAN_ARROW, cols)
 
-    # document order is rid order and levels are older, so the first of equals is the earliest
-    return suffix_array(rows_).mapInArrow(run, SEGMENT + ", a int, b int")
+    # document order is rid order and levels are older, so the first of equals is the earliest;
+    # only equal entries have to meet, so those of a frequent gram are spread
+    merged_order = rows_.repartition("gram", "suffix", "left").sortWithinPartitions(*ORDER)
+    return merged_order.mapInArrow(run, SEGMENT + ", a int, b int")
 
 
 class Family:
@@ -266,13 +300,13 @@ def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT, made:
     """``(rid, a, b)``: the bytes of strings of the array's entries that stand
     earlier in another entry. Entries that can share strings have the same
     selected bytes and so are neighbours. Up to ``limit`` of them are resolved
-    where they are, by a set of their strings; of more, the strings are emitted
-    as hashes, and the earliest of each is found with partial aggregates."""
+    where they are, by a set of their strings; of more, which never meet in one
+    task, the strings are emitted as hashes, and the earliest of each is found
+    with partial aggregates."""
     import xxhash
 
     def run(batches):
         held: list[tuple] = []
-        many = False  # the present entries are beyond the limit
 
         def resolve(out):
             seen: set[bytes] = set()
@@ -296,49 +330,71 @@ def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT, made:
             for o, x in zip(out, (rid, a, b, key)):
                 o.append(x)
 
-        def strings(out):
-            for _, suffix, left, rid, p in held:
-                t, a = left + suffix, p - len(left)
-                for k in range(len(t) - length + 1):
-                    emit(out, rid, a + k, a + k + length, xxhash.xxh3_128_digest(t[k : k + length]))
-
-        def close(out):
-            if many:
-                strings(out)
-            elif len(held) > 1:
-                resolve(out)
-
         for b in batches:
             out: list[list] = [[], [], [], []]
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 if held and held[0][0] != row[0]:
-                    close(out)
-                    held, many = [], False
+                    if len(held) > 1:
+                        resolve(out)
+                    held = []
                 held.append(row)
-                if len(held) > limit:
-                    strings(out)
-                    held, many = held[:1], True  # one stays to tell the entries that follow
-                    held[0] = (row[0], b"", b"", 0, 0)
                 if len(out[0]) >= 50_000:
                     yield rows(SHARED_ARROW, out)
                     out = [[], [], [], []]
             if out[0]:
                 yield rows(SHARED_ARROW, out)
         out = [[], [], [], []]
-        if held:
-            close(out)
+        if len(held) > 1:
+            resolve(out)
         if out[0]:
             yield rows(SHARED_ARROW, out)
 
-    found = stage(suffix_array(array).mapInArrow(run, "rid long, a int, b int, key binary"), "suffix-shared")
+    def strings(batches):
+        for b in batches:
+            out: list[list] = [[], [], [], []]
+            for _, suffix, left, rid, p in zip(*(c.to_pylist() for c in b.columns)):
+                t, a = left + suffix, p - len(left)
+                for k in range(len(t) - length + 1):
+                    for o, x in zip(out, (rid, a + k, a + k + length, xxhash.xxh3_128_digest(t[k : k + length]))):
+                        o.append(x)
+                if len(out[0]) >= 50_000:
+                    yield rows(SHARED_ARROW, out)
+                    out = [[], [], [], []]
+            if out[0]:
+                yield rows(SHARED_ARROW, out)
+
+    schema = "rid long, a int, b int, key binary"
+    crowds = stage(array.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("gram"), "suffix-crowds")
+    few = suffix_array(array.join(crowds, "gram", "left_anti").select(*SEGMENT_NAMES)).mapInArrow(run, schema)
+    many = array.join(crowds, "gram", "left_semi").select(*SEGMENT_NAMES).mapInArrow(strings, schema)
+    found = stage(few.unionByName(many), "suffix-shared")
     if made is not None:
-        made.append(found)
+        made += [crowds, found]
     hashed = found.where("key is not null")
     first = hashed.groupBy("key").agg(F.min(F.struct("rid", "a")).alias("f"))
     later = hashed.join(first, "key").where((F.col("rid") != F.col("f.rid")) | (F.col("a") != F.col("f.a")))
     return found.where("key is null").select("rid", "a", "b").unionByName(later.select("rid", "a", "b"))
 
 
+def thinned(rows_: DataFrame) -> DataFrame:
+    """Rows (sha, id, text), each id and text once a task or a little more, so
+    that rows repeated very often are few before they are shuffled."""
+    def run(batches):
+        seen: set = set()
+        for b in batches:
+            pairs = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            new = []
+            for x in pairs:
+                new.append(x not in seen)
+                seen.add(x)
+            if any(new):
+                yield b if all(new) else b.filter(pa.array(new))
+            if len(seen) > SEEN:
+                seen.clear()
+
+    return rows_.select("sha", "id", "text").mapInArrow(run, "sha binary, id long, text string")
+
+
 def repeats(df: DataFrame, key: str, text: str, made: list[DataFrame], length: int = LENGTH, gram: int = GRAM,
             batches: int = BATCHES) -> DataFrame:
     """``(sha, first_id, ranges)`` for each different text of ``df``: its
@@ -350,18 +406,21 @@ def repeats(df: DataFrame, key: str, text: str, made: list[DataFrame], length: i
                       F.coalesce(F.col(text), F.lit("")).alias("text"))
     firsts = stage(rows_.groupBy("sha").agg(F.min("id").alias("first_id")).orderBy("first_id", "sha")
                    .select("sha", "first_id", F.monotonically_increasing_id().alias("rid")), "texts")
-    long_enough = rows_.where(F.octet_length("text") >= length)
+    long_enough = thinned(rows_.where(F.octet_length("text") >= length))
     texts = long_enough.join(firsts, [long_enough.sha == firsts.sha, F.col("id") == F.col("first_id")]).select("rid", "text")
     made.append(firsts)
     hits = stage(recurring(entries(texts, length, gram)), "recurring")
-    lists = hits.where("not again").groupBy("rid").agg(F.collect_list(F.struct("gram", "a", "p", "b")).alias("es"))
+    # a set, as a document can come from several tasks
+    lists = hits.where(F.col("kind") != AGAIN).groupBy("rid").agg(F.collect_set(F.struct("gram", "a", "p", "b")).alias("es"))
     placed = lists.join(firsts, "rid").withColumnsRenamed({"sha": "sha_"})
     found = long_enough.join(placed, [F.col("sha") == F.col("sha_"), F.col("id") == F.col("first_id")]).select("rid", "text", "es")
     cuts = (firsts.agg(F.percentile_approx("rid", F.array(*[F.lit(i / batches) for i in range(1, batches)]))).first()[0] or []) if batches > 1 else []
     number = sum([(F.col("rid") > c).cast("int") for c in cuts], F.lit(0))
     segments = stage(with_bytes(found, length).withColumn("batch", number), "segments", "batch")
     made += [hits, segments]
-    lost = hits.where("again").select("rid", "a", (F.col("b") + length).alias("b"))
+    lost = hits.where(F.col("kind") == AGAIN).select("rid", "a", (F.col("b") + length).alias("b"))
+    lost = lost.unionByName(segments.where("suffix is null").select("rid", "a", "b"))
+    segments = segments.where("suffix is not null").select(*SEGMENT_NAMES, "batch")
 
     family = Family(made)
     for i in range(len(cuts) + 1):

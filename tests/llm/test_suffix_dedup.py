@@ -107,3 +107,34 @@ def test_pipeline_stage_cuts_passages(spark):
 
 def test_empty_table(spark, tmp_path):
     assert S.query(spark, put(spark.createDataFrame([], DOCUMENTS), tmp_path)).count() == 0
+
+
+def test_hot_passage_and_repeated_rows(spark, tmp_path):
+    """A passage that many documents share, at different places, over many tasks,
+    and one document repeated in all of them."""
+    rng = random.Random(9)
+    noise = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    hot, again = noise(260), noise(400)
+    rows = [(i, noise(rng.randint(0, 40)) + hot + noise(rng.randint(0, 150))) for i in range(150)] + [(7000, again)] * 40 + [(7001, "x" + again)] * 3
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS).repartition(12)
+    check(spark, put(df, tmp_path), rows)
+    made = []
+    verdict = S.repeats(df.select("doc_id", "text"), "doc_id", "text", made)
+    assert verdict.where("ranges is not null").count() == 150
+    segments = [x for x in made if "left" in x.columns and "batch" in x.columns]
+    marked = segments[0].where("suffix is null").count()
+    assert marked > segments[0].count() / 4  # settled before the shuffle
+
+
+def test_frequent_grams_are_spread(spark):
+    """All but a few rows of a frequent gram pass without meeting the others."""
+    texts = spark.createDataFrame([(i, "shared beginning of all, " * 6 + f"own {i} ending " * 9) for i in range(400)], "rid long, text string").coalesce(2)
+    found = S.entries(texts, 100, 32)
+    kinds = {r.kind: r["count"] for r in found.groupBy("kind").count().collect()}
+    assert kinds[S.SEVERAL] > 50 * kinds.get(S.WITNESS, 0) > 0
+    kept = S.recurring(found).where(F.col("kind") != S.AGAIN).select("gram", "rid", "p").collect()
+    counts = {}
+    for r in found.where(~F.col("kind").isin(S.AGAIN, S.WITNESS)).collect():
+        counts.setdefault(r.gram, []).append((r.gram, r.rid, r.p))
+    assert sorted(map(tuple, kept)) == sorted(x for own in counts.values() if len(own) > 1 for x in own)
