@@ -235,8 +235,10 @@ RUN_LIMIT = 4096  # entries of the same selected bytes that are resolved in one
 ORDER = ["gram", "suffix", "left", "rid", "p"]
 
 
-def suffix_array(segments: DataFrame) -> DataFrame:
-    return segments.repartition("gram").sortWithinPartitions(*ORDER)
+def suffix_array(segments: DataFrame, *by: str) -> DataFrame:
+    """Entries in order, dealt out by their bytes, so that only equal ones meet
+    and those of a frequent gram are spread; or by the columns ``by``."""
+    return segments.repartition(*(by or ("gram", "suffix", "left"))).sortWithinPartitions(*ORDER)
 
 
 def merge_scan(batch: DataFrame, levels: list[DataFrame]) -> DataFrame:
@@ -262,10 +264,8 @@ def merge_scan(batch: DataFrame, levels: list[DataFrame]) -> DataFrame:
             if cols[0]:
                 yield rows(SCAN_ARROW, cols)
 
-    # document order is rid order and levels are older, so the first of equals is the earliest;
-    # only equal entries have to meet, so those of a frequent gram are spread
-    merged_order = rows_.repartition("gram", "suffix", "left").sortWithinPartitions(*ORDER)
-    return merged_order.mapInArrow(run, SEGMENT + ", a int, b int")
+    # document order is rid order and levels are older, so the first of equals is the earliest
+    return suffix_array(rows_).mapInArrow(run, SEGMENT + ", a int, b int")
 
 
 class Family:
@@ -365,7 +365,7 @@ def shared_strings(array: DataFrame, length: int, limit: int = RUN_LIMIT, made:
 
     schema = "rid long, a int, b int, key binary"
     crowds = stage(array.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("gram"), "suffix-crowds")
-    few = suffix_array(array.join(crowds, "gram", "left_anti").select(*SEGMENT_NAMES)).mapInArrow(run, schema)
+    few = suffix_array(array.join(crowds, "gram", "left_anti").select(*SEGMENT_NAMES), "gram").mapInArrow(run, schema)
     many = array.join(crowds, "gram", "left_semi").select(*SEGMENT_NAMES).mapInArrow(strings, schema)
     found = stage(few.unionByName(many), "suffix-shared")
     if made is not None:
