@@ -44,6 +44,7 @@ RATIO = 10
 ONE_IN = 31
 TILE = 2048  # words of a group, from which it is halved
 BLOCK = 256  # rows of a block
+TASK = 1 << 17  # rows of a task, about
 CELLS = 1 << 20  # code points of a block, but for a single longer word
 FLUSH = 200_000  # words that a task counts before it passes them on
 RUN = "[a-zÀ-ÿ]"
@@ -225,7 +226,9 @@ def variants(counted: DataFrame, ratio: int = RATIO, tile: int = TILE) -> DataFr
     counted = stage(counted.select("word", "n"), "spelling-words")
     tiles = groups(counted, tile)
     cols = [F.col(f"grp.{c}").alias(c) for c in "mabxy"]
-    spread = tiles.select(*cols, "word", "n").repartition("m", "a", "b", "x", "y").sortWithinPartitions("m", "a", "b", "x", "y", "word")
+    # by rows, as a few bytes of words are much work
+    tasks = 1 + tiles.count() // TASK
+    spread = tiles.select(*cols, "word", "n").repartition(tasks, "m", "a", "b", "x", "y").sortWithinPartitions("m", "a", "b", "x", "y", "word")
     found = spread.mapInArrow(_compare, "word string, n_near long, form_n long, form string")
     best = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("form_n")).alias("less"), "form")).alias("best"))
     rows = counted.join(best, "word", "left")
