@@ -14,8 +14,7 @@ Strings lie within one document and are judged on the input.
   corpus cannot repeat; one pass over the entries' hashes in order finds the
   others, and only they get their bytes attached.
 * *Family.* Entries come in batches by document order. A batch becomes a suffix
-  array: spread by the hash of the selected bytes, sorted by suffix in each
-  part. It is merge-scanned against the arrays of the levels: one pass over the
+  array: spread by the hash of its entries, sorted by suffix in each part. It is merge-scanned against the arrays of the levels: one pass over the
   merged order, where an entry equal to the one before it (older levels first)
   is a repeat as a whole. The others enter as level 0, and levels of equal rank
   merge into the next rank, so each entry is rewritten a logarithmic number of
