@@ -2,15 +2,20 @@
 
 Training counts the character trigrams of each learned language over all given
 texts (lower case, letters only; anything else is a gap, and a trigram's middle
-is a letter). A language keeps the trigrams that are at least ``min_share`` of
-its own, hence 1/min_share of them at most. They enter a bit-sliced Bloom
-filter: a row of bits per slot, one bit per language, so that one look-up (the
-AND of ``hashes`` rows) returns all languages that contain a trigram.
+is a letter). A trigram belongs to every language whose share of it (its count
+over the language's trigrams plus ``smooth``) is at least ``min_ratio`` of the
+largest share of any language, so each trigram belongs to one language or more,
+however rare it is, and a stray foreign one not to the language it strayed into.
+They enter a bit-sliced Bloom filter: a row of bits per slot, one bit per
+language, so that one look-up (the AND of ``hashes`` rows) returns all languages
+that contain a trigram. A filter has ``SPACE`` slots for each trigram of the
+largest language; where it would outgrow ``max_bytes``, the trigrams are dealt
+out to several filters, and the texts pass through one after the other.
 
 A text's trigrams are looked up; the popcount of each language, corrected for
 the filter's false positives (its filled share to the power of ``hashes``),
 over the number of trigrams is the language's score, and the largest wins (ties:
-the smaller name). The filter's size depends on its parameters alone.
+the smaller name).
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text
 if no language was learned. Texts are read whole; rows without language or text
@@ -19,18 +24,21 @@ are not learned from; repeated rows count and are predicted each for itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from restock.llm.common import table, text_runs, utf8
+from restock.llm.common import drop_staged, stage, table, text_runs, unused_name, utf8
 
-SLOTS = 1 << 20
+SPACE = 16
 HASHES = 3
-MIN_SHARE = 2e-5
+MIN_RATIO = 0.05
+SMOOTH = 50_000
+MAX_BYTES = 32 << 20
 MAX_LANGUAGES = 4096
 UND = "und"
 
@@ -100,21 +108,31 @@ def _slots(grams: np.ndarray, hashes: int, slots: int):
         yield ((one + np.uint64(i) * two) % np.uint64(slots)).astype(np.int64)
 
 
+def _width(languages: int) -> int:
+    """Bytes of a slot: the narrowest whole number that has a bit for each."""
+    return next((w for w in (1, 2, 4) if languages <= 8 * w), 8 * max(1, -(-languages // 64)))
+
+
 class Filter:
     """A Bloom filter for each language, sliced so that a slot is a bitmask."""
 
-    def __init__(self, languages: list[str], slots: int = SLOTS, hashes: int = HASHES):
+    def __init__(self, languages: list[str], slots: int, hashes: int = HASHES):
         self.languages, self.hashes = languages, hashes
-        self.bits = np.zeros((max(1, -(-len(languages) // 64)), slots), np.uint64)
+        width = _width(len(languages))
+        self.type = np.dtype(f"u{min(width, 8)}").type
+        self.bits = np.zeros((max(1, width // 8), slots), self.type)
 
     def add(self, language: int, grams: np.ndarray) -> None:
         word, bit = divmod(language, 64)
         for s in _slots(grams, self.hashes, self.bits.shape[1]):
-            self.bits[word][s] |= np.uint64(1 << bit)
+            self.bits[word][s] |= self.type(1 << bit)
+
+    def _has(self, mask: np.ndarray, language: int) -> np.ndarray:
+        return (mask & self.type(1 << language % 64)) != 0
 
     def false_positives(self) -> np.ndarray:
         slots = self.bits.shape[1]
-        fill = [np.count_nonzero(self.bits[i // 64] >> np.uint64(i % 64) & np.uint64(1)) / slots for i in range(len(self.languages))]
+        fill = [np.count_nonzero(self._has(self.bits[i // 64], i)) / slots for i in range(len(self.languages))]
         return np.array(fill) ** self.hashes
 
     def masks(self, grams: np.ndarray, word: int) -> np.ndarray:
@@ -123,58 +141,110 @@ class Filter:
             out = self.bits[word][s] if out is None else out & self.bits[word][s]
         return out
 
-    def scores(self, texts: list[str], false: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Corrected share of each language for each text; and trigram counts."""
-        grams, who = trigrams(texts)
-        n = np.bincount(who, minlength=len(texts))
-        out = np.zeros((len(texts), len(self.languages)))
+    def hits(self, grams: np.ndarray, who: np.ndarray, texts: int) -> np.ndarray:
+        """How many of each text's trigrams each language contains."""
+        out = np.zeros((texts, len(self.languages)))
         for word in range(self.bits.shape[0]):
             mask = self.masks(grams, word)
             for i in range(word * 64, min(len(self.languages), word * 64 + 64)):
-                hit = (mask >> np.uint64(i % 64) & np.uint64(1)).astype(bool)
-                out[:, i] = np.bincount(who[hit], minlength=len(texts))
-        expected = n[:, None] * false[None, :]
-        share = (out - expected) / np.maximum(n[:, None] - expected, 1e-9)
-        return np.clip(share, 0.0, 1.0), n
+                out[:, i] = np.bincount(who[self._has(mask, i)], minlength=texts)
+        return out
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", min_share: float = MIN_SHARE, slots: int = SLOTS, hashes: int = HASHES) -> Filter:
-    counts = gram_counts(df, text, lang)
-    from restock.llm.common import stage
+class Model:
+    """The trigrams of the languages, dealt out to ``parts`` filters."""
 
-    counts = stage(counts, "trigrams")
-    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    if total.count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # 1 / min_share trigrams a language at most
-    kept = counts.join(total, "lang").where(F.col("n") >= min_share * F.col("total")).select("lang", "gram").toPandas()
-    languages = sorted(r.lang for r in total.collect())
-    out = Filter(languages, slots, hashes)
-    for i, name in enumerate(languages):
-        out.add(i, kept.gram[kept.lang == name].to_numpy(np.int64))
-    return out
+    def __init__(self, languages: list[str], grams: DataFrame | None = None, parts: int = 1, slots: int = 1, hashes: int = HASHES):
+        self.languages, self.grams, self.parts, self.slots, self.hashes = languages, grams, parts, slots, hashes
 
+    def filters(self) -> Iterator[Filter]:
+        for part in range(self.parts):
+            out = Filter(self.languages, self.slots, self.hashes)
+            if self.grams is not None:
+                # a filter has SPACE bits a trigram and at most max_bytes
+                some = self.grams.where(F.col("gram") % self.parts == part).toPandas()
+                for i, own in some.groupby("i").gram:
+                    out.add(int(i), own.to_numpy(np.int64))
+            yield out
 
-def predict(df: DataFrame, model: Filter, text: str = "text") -> DataFrame:
+
+def train(df: DataFrame, text: str = "text", lang: str = "lang", min_ratio: float = MIN_RATIO, smooth: int = SMOOTH,
+          max_bytes: int = MAX_BYTES, hashes: int = HASHES) -> Model:
+    counts = stage(gram_counts(df, text, lang), "trigrams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).limit(MAX_LANGUAGES + 1).collect()
+    if len(totals) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not totals:
+        return Model([], hashes=hashes)
+    totals.sort(key=lambda r: r.lang)
+    languages = [r.lang for r in totals]
+    # one row a language, MAX_LANGUAGES at most
+    numbers = F.broadcast(df.sparkSession.createDataFrame([(i, r.lang, r.total) for i, r in enumerate(totals)], "i int, lang string, total long"))
+    share = F.col("n") / (F.col("total") + F.lit(smooth))
+    top = F.max("share").over(Window.partitionBy("gram"))  # a row a language
+    own = counts.join(numbers, "lang").select("i", "gram", share.alias("share")).withColumn("top", top)
+    grams = stage(own.where(F.col("share") >= F.lit(min_ratio) * F.col("top")).select("i", "gram"), "language-grams")
+    drop_staged(counts)
+
+    def largest(parts: int) -> int:
+        return grams.groupBy("i", F.col("gram") % parts).count().agg(F.max("count")).first()[0]
+
+    parts, width = 1, _width(len(languages))
+    while (slots := SPACE * largest(parts)) * width > max_bytes and slots > SPACE:
+        parts = -(-parts * slots * width // max_bytes) | 1  # odd, so that all three letters count
+    return Model(languages, grams, parts, slots, hashes)
+
+
+def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred string, score double`` (these names replaced)."""
-    keep = [c for c in df.columns if c.lower() not in ("lang_pred", "score")]
-    false = model.false_positives()
+    some = df.select(*(c for c in df.columns if c.lower() not in ("lang_pred", "score")))
+    found = unused_name(some, "found")
+    # of every row: corrected hits and the trigrams left, by language, of the filters so far
+    before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema)
+    columns = len(some.columns)
+    for part, filt in enumerate(model.filters()):
+        last = part == model.parts - 1
+        run = _pass(filt, part, model.parts, columns, text, found)
+        read = some
+        some = read.mapInArrow(run, f"{before}, lang_pred string, score double" if last else f"{before}, `{found}` array<double>")
+        if not last:
+            some = stage(some, "languages")
+            if part:
+                drop_staged(read)
+    return some
+
+
+def _pass(filt: Filter, part: int, parts: int, columns: int, text: str, found: str):
+    languages = filt.languages
+    false = filt.false_positives()
 
     def run(batches):
         for batch, a, b in text_runs(batches, text):
-            names, best = [UND] * (b - a), np.zeros(b - a)
-            if model.languages:
-                texts = [t.decode() for t in utf8(batch, a, b, text)]
-                share, n = model.scores(texts, false)
-                top = share.argmax(axis=1)
-                best = np.where(n > 0, share[np.arange(len(top)), top], 0.0)
-                names = [model.languages[i] if k else UND for i, k in zip(top, n)]
-            yield pa.RecordBatch.from_arrays([*(batch.slice(a, b - a).columns), pa.array(names), pa.array(best)],
-                                             [*batch.schema.names, "lang_pred", "score"])
-
-    some = df.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema)
-    return some.mapInArrow(run, f"{schema}, lang_pred string, score double")
+            rows, size = b - a, len(languages)
+            grams, who = trigrams([t.decode() for t in utf8(batch, a, b, text)])
+            n = np.bincount(who, minlength=rows)
+            mine = grams % parts == part
+            here = np.bincount(who[mine], minlength=rows)[:, None] * np.ones(size)
+            sums = np.stack([filt.hits(grams[mine], who[mine], rows) - here * false, here * (1 - false)], axis=1)
+            if part:
+                held = batch.column(columns).slice(a, rows)
+                sums += held.flatten().to_numpy().reshape(rows, 2, size)
+            kept = batch.slice(a, rows).columns[:columns]
+            names = batch.schema.names[:columns]
+            if part < parts - 1:
+                offsets = pa.array(np.arange(rows + 1) * 2 * size, pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))
+                yield pa.RecordBatch.from_arrays([*kept, lists], [*names, found])
+                continue
+            pred, best = [UND] * rows, np.zeros(rows)
+            if size:
+                scores = np.clip(sums[:, 0] / np.maximum(sums[:, 1], 1e-9), 0.0, 1.0)
+                at = scores.argmax(axis=1)
+                best = np.where(n > 0, scores[np.arange(rows), at], 0.0)
+                pred = [languages[i] if k else UND for i, k in zip(at, n)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred), pa.array(best)], [*names, "lang_pred", "score"])
+
+    return run
 
 
 def query(spark, sf_dir: str) -> DataFrame:

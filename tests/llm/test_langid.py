@@ -65,3 +65,44 @@ def test_undetermined_and_ties(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert L.query(spark, put(spark.createDataFrame([], DOCUMENTS), tmp_path)).count() == 0
+
+
+def test_filters_in_parts_give_the_same(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    whole, parts = L.train(df), L.train(df, max_bytes=1 << 14)
+    assert whole.parts == 1 and parts.parts > 1 and parts.slots <= 1 << 14
+    some = df.union(docs(spark, [None, "", "12", "the the"]).select("doc_id", "text", "lang")).withColumn("Found", F.lit(1))
+    a, b = ({(r.doc_id, r.text): r for r in L.predict(some, m).collect()} for m in (whole, parts))
+    assert a.keys() == b.keys()
+    for k, r in a.items():
+        assert r.Found == b[k].Found == 1 and abs(r.score - b[k].score) < 0.02
+    assert sum(r.lang_pred == b[k].lang_pred for k, r in a.items()) >= 0.99 * len(a)
+    assert len([f for f in parts.filters()]) == parts.parts
+
+
+def test_rare_trigrams_of_a_large_script_are_learned(spark):
+    rng = np.random.default_rng(1)
+    script = ["".join(chr(0x4E00 + i) for i in rng.integers(0, 3000, 400)) for _ in range(300)]
+    latin = ["the quick brown fox jumps over the lazy dog " * 9] * 300
+    model = L.train(docs(spark, script, lang="zz").unionByName(docs(spark, latin, lang="aa")))
+    some = docs(spark, [t[100:130] for t in script])
+    rows = L.predict(some, model).collect()
+    assert all(r.lang_pred == "zz" and r.score > 0.8 for r in rows)
+
+
+def test_stray_trigrams_stay_with_their_language(spark):
+    en, de = ["the house and the garden " * 40] * 50, ["der hund und das haus " * 40] * 50
+    model = L.train(docs(spark, [*en, "der hund"], lang="en").unionByName(docs(spark, de, lang="de")))
+    (f,) = model.filters()
+    grams, _ = L.trigrams(["hund"])
+    assert not (f.masks(grams, 0) & np.uint8(1 << model.languages.index("en"))).all()
+    assert (f.masks(grams, 0) & np.uint8(1 << model.languages.index("de"))).all()
+
+
+def test_languages_of_every_width():
+    for n in (1, 8, 9, 20, 40, 64, 65, 130):
+        f = L.Filter([str(i) for i in range(n)], slots=4096)
+        for i in range(n):
+            f.add(i, np.array([i + 1]))
+        hits = f.hits(np.arange(1, n + 1), np.arange(n), n)
+        assert (np.diag(hits) == 1).all() and f.bits.itemsize * len(f.bits) == L._width(n)
