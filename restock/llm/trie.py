@@ -24,8 +24,10 @@ a node's sum is that of (members - 1) * words over its subtree. Conversations of
 more than one band add what their later pieces give to the nodes of the earlier.
 
 Ends are the ids of the conversations that end at a node, hashed in a stream of
-sorted runs of at most 2 ** ``RUN_BITS`` ids. A conversation's turns are numbered in a
-window, which spills; only ids and word counts are shuffled, never texts.
+sorted runs of at most 2 ** ``RUN_BITS`` ids. Turns are numbered run by run of the
+sorted table, each run a partition, and a run's numbers go on from the conversation's
+turns in the runs before it; so a conversation that has a third of all turns is spread
+like any other rows. Only ids and word counts are shuffled, never texts.
 
 Null role or text is empty. Rows with a null conv_id belong to no conversation.
 Rows repeated exactly are turns of their own. Other columns play no part. An empty
@@ -47,19 +49,42 @@ WIDTH = 22  # characters of a turn's id
 BAND = 1024
 LIMIT = 4096
 RUN_BITS = 12
+REPEATS = 1024  # equal turns written out at a time
 EVERY = 20
 
 
-def turns(df: DataFrame) -> DataFrame:
-    """``(conv_id, pos, turn_id, words)`` of the rows (conv_id, turn, role,
-    text): positions from 1 in the order of the turns."""
+ORDER = ("turn", "turn_id")  # ascending, null first
+
+
+def sorted_runs(df: DataFrame) -> DataFrame:
+    """``(conv_id, turn, turn_id, words, n, run)``: the different turns of the rows
+    (conv_id, turn, role, text) with their numbers of rows, cut into runs of the
+    sorted table that each fit a partition, whatever conversation they are of."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     rows = df.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn",
         F.substring(F.base64(F.unhex(F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text)))), 1, WIDTH).alias("turn_id"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
-    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "turn_id")
-    return rows.select("conv_id", F.row_number().over(order).cast("long").alias("pos"), "turn_id", "words")
+    same = stage(rows.groupBy("conv_id", "turn", "turn_id", "words").agg(F.count("*").alias("n")), "trie-rows")
+    runs = stage(same.repartitionByRange("conv_id", *ORDER).withColumn("run", F.spark_partition_id()), "trie-runs")
+    drop_staged(same)
+    return runs
+
+
+def turns(df: DataFrame) -> DataFrame:
+    """``(conv_id, pos, turn_id, words)`` of the rows (conv_id, turn, role,
+    text): positions from 1 in the order of the turns."""
+    runs = sorted_runs(df)
+    before = W.partitionBy("conv_id").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    sizes = runs.groupBy("conv_id", "run").agg(F.sum("n").alias("size"))  # a conversation has a row for each of its runs
+    starts = sizes.select("conv_id", "run", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    within = W.partitionBy("conv_id", "run").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, 0)
+    placed = runs.withColumn("upto", F.sum("n").over(within)).join(starts, ["conv_id", "run"])
+    last = F.col("start") + F.col("upto")
+    # repeated rows, some at a time, so that no array grows with their number
+    some = placed.select("conv_id", "turn_id", "words", last.alias("last"),
+                         F.explode(F.sequence(last - F.col("n") + 1, last, F.lit(REPEATS).cast("long"))).alias("at"))
+    return some.select("conv_id", F.explode(F.sequence("at", F.least(F.col("at") + REPEATS - 1, F.col("last")))).alias("pos"), "turn_id", "words")
 
 
 def rebuilt(t: DataFrame, every: int = EVERY) -> DataFrame:
@@ -96,17 +121,21 @@ def pieces(t: DataFrame, band: int = BAND) -> DataFrame:
     ``ids`` (joined turn ids) and ``words``. Rows at position 0 only start a
     conversation."""
     at = F.greatest(F.col("pos") - 1, F.lit(0))
-    rows = t.withColumn("band", F.floor(at / band).cast("int")).repartition("conv_id")
     own = F.array_sort(F.collect_list(F.when(F.col("pos") > 0, F.struct("pos", "turn_id", "words"))))
-    p = rows.groupBy("conv_id", "band").agg(own.alias("own"))
+    p = t.groupBy("conv_id", F.floor(at / band).cast("int").alias("band")).agg(own.alias("own"))
     p = p.select("conv_id", "band", F.array_join("own.turn_id", "").alias("ids"), F.col("own.words").alias("words"))
     x, y = _hashes(F.col("band"), F.col("ids"))
-    so_far = W.partitionBy("conv_id").orderBy("band").rowsBetween(W.unboundedPreceding, 0)
-    p = p.select("*", x.alias("x"), y.alias("y"))
-    p = p.select("*", F.bit_xor("x").over(so_far).alias("k1"), F.bit_xor("y").over(so_far).alias("k2"),
-                 F.lead("band").over(W.partitionBy("conv_id").orderBy("band")).isNotNull().alias("more"))
-    return p.select("conv_id", "band", "more", F.col("k1").bitwiseXOR(F.col("x")).alias("h1"), F.col("k2").bitwiseXOR(F.col("y")).alias("h2"),
-                    "k1", "k2", "ids", "words")
+    p = stage(p.select("*", x.alias("x"), y.alias("y")), "trie-bands")
+    # by conversation, only the hashes of its pieces meet
+    order = W.partitionBy("conv_id").orderBy("band")
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    names = p.select("conv_id", "band", F.bit_xor("x").over(so_far).alias("k1"), F.bit_xor("y").over(so_far).alias("k2"),
+                     F.lead("band").over(order).isNotNull().alias("more"))
+    named = p.join(names, ["conv_id", "band"])
+    out = stage(named.select("conv_id", "band", "more", F.col("k1").bitwiseXOR(F.col("x")).alias("h1"), F.col("k2").bitwiseXOR(F.col("y")).alias("h2"),
+                             "k1", "k2", "ids", "words"), "trie-pieces")
+    drop_staged(p)
+    return out
 
 
 def suffixes(p: DataFrame) -> DataFrame:
@@ -276,7 +305,7 @@ def _later(p: DataFrame, swept: DataFrame) -> DataFrame:
 
 def nodes(t: DataFrame, band: int = BAND, limit: int = LIMIT) -> DataFrame:
     """The trie over turns ``(conv_id, pos, turn_id, words)``, see :func:`query`."""
-    p = stage(pieces(t, band), "trie-pieces")
+    p = pieces(t, band)
     boxes = burst(suffixes(p), limit)
     spread = boxes.repartition("c1", "c2").sortWithinPartitions("c1", "c2", "ids")
     swept = stage(spread.mapInArrow(_sweep(band), SWEPT), "trie-swept")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from restock.llm import trie as R
+from restock.session import session_conf
 from tests.llm.helpers import SF, put
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -38,25 +39,27 @@ def order(md5):
 
 
 def brute(seqs):
-    members = defaultdict(list)
+    number, up, words, depth = {}, {0: None}, {0: 0}, {0: 0}  # nodes are numbered, 0 is the root
+    members, ends = defaultdict(list), defaultdict(list)
     for c, s in seqs.items():
-        for d in range(len(s) + 1):
-            members[tuple(s[:d])].append(c)
+        members[0].append(c)
+        at = 0
+        for turn in s:
+            above, at = at, number.setdefault((at, turn), len(number) + 1)
+            up[at], depth[at], words[at] = above, depth[above] + 1, len(re.findall(r"[^\x20\x09-\x0D]+", turn[1]))
+            members[at].append(c)
+        ends[at].append(c)
     saved, leaves, children = defaultdict(int), defaultdict(int), defaultdict(int)
-    for path in members:
-        if path:
-            children[path[:-1]] += 1
-    for path, m in members.items():
-        words = len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
-        for d in range(len(path) + 1):
-            saved[path[:d]] += (len(m) - 1) * words
-            leaves[path[:d]] += path not in children
-    out = set()
-    for path, m in members.items():
-        ends = ",".join(str(c) for c in sorted(m) if len(seqs[c]) == len(path))
-        out.add((min(m), len(path), min(members[path[:-1]]) if path else None, len(m), children[path], leaves[path], saved[path],
-                 hashlib.sha256(ends.encode()).hexdigest()))
-    return out
+    for above, _ in number:
+        children[above] += 1
+    for node, m in members.items():
+        above = node
+        while above is not None:
+            saved[above] += (len(m) - 1) * words[node]
+            leaves[above] += not children[node]
+            above = up[above]
+    return {(min(m), depth[node], min(members[up[node]]) if node else None, len(m), children[node], leaves[node], saved[node],
+             hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest()) for node, m in members.items()}
 
 
 def got(df):
@@ -122,5 +125,18 @@ def test_hot_conversations(spark):
     assert got(R.nodes(R.rebuilt(R.turns(df)), 100, 50)) == brute(sequences(rows))
 
 
+def test_turns_of_a_hot_conversation_are_numbered_in_many_runs(spark):
+    """One conversation with most rows: ties, null turns and repeats, dealt out to several partitions."""
+    rng = random.Random(3)
+    rows = [(8, rng.choice([None, 1, 2]), "u", f"t{rng.randrange(400)}") for _ in range(1_000)] + [(8, 1, "u", "again")] * 1_500
+    rows += [(c, i, "u", f"t{i}") for c in range(30, 60) for i in range(4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        assert R.sorted_runs(df).where("conv_id = 8").select("run").distinct().count() > 1
+        t = R.turns(df)
+        assert [r.pos for r in t.where("conv_id = 8").orderBy("pos").collect()] == list(range(1, 2_501))
+        assert got(R.nodes(R.rebuilt(t), 100, 50)) == brute(sequences(rows))
+
+
 def test_empty_table(spark, tmp_path):
     assert R.query(spark, put(spark.createDataFrame([], SCHEMA), tmp_path, "conversations")).count() == 0
