@@ -19,3 +19,10 @@ def spread_nulls(key: Column, by: Column) -> Column:
     """A left-join key in which null matches nothing, as ever, but is spread over
     many values, so that the rows without a key don't meet in one task."""
     return F.coalesce(key, F.concat(F.lit("\x00"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("string")))
+
+
+def growing(df: DataFrame) -> DataFrame:
+    """Keep a side that grows with the input (one row per item) out of broadcasts:
+    Spark picks them by compressed bytes, and in memory every executor would hold
+    many times that. Both sides are shuffled and sorted instead."""
+    return df.hint("merge")

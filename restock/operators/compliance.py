@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.functions.columns import is_false_or_null, safe_div, supplier_vendor
-from restock.functions.joins import dimension
+from restock.functions.joins import dimension, growing
 from restock.params import Params
 
 
@@ -35,7 +35,7 @@ def placed_orders(proc: DataFrame, products: DataFrame, vendors: DataFrame, loca
         & F.col("purchaser_code").isin(list(p.buyers))
         & is_false_or_null(F.col("wms_closed_flag"))
         & is_false_or_null(F.col("ready_to_reconcile_flag")))
-    return (f.join(products.select("product_key"), "product_key", "left_semi")
+    return (f.join(growing(products.select("product_key")), "product_key", "left_semi")
             .join(vendors.select("vendor_key", "vendor_number", "vendor_name"), "vendor_key")
             .join(dimension(locations.select("location_key", "location_code")), "location_key")
             .select(F.col("document_order_dttm").cast("date").alias("document_order_date"),
@@ -100,7 +100,6 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
                                          F.col("direct_import_flag").alias("vendor_direct_import_flag"))
     # one unit-of-measure row per item (the warehouse may list several units)
     uom = (item_uom.where(F.col("wh_id") == p.uom_warehouse)
-           .join(rollup.select(F.col("product_part_number").alias("item_number")), "item_number", "left_semi")
            .groupBy(F.col("item_number").alias("product_part_number"))
            .agg(F.max(F.col("cartonization_flag") == "NO").alias("_sioc")))
     # all placed orders are of one day, so only that day and the next are read
@@ -121,13 +120,13 @@ def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, deman
                          supplier_vendor(F.col("supplier")).alias("vendor_number"),
                          F.col("location_cd").alias("location_code"), "action", "region",
                          "proposed_qty", "fc_region_need_percent")
-    j = (rollup.join(pr, "product_part_number").join(v, "vendor_number")
+    j = (rollup.join(growing(pr), "product_part_number").join(v, "vendor_number")
          .where(is_false_or_null(F.col("private_label_flag"))
                 & is_false_or_null(F.col("vendor_direct_import_flag")))
-         .join(demand, "product_part_number", "left")
-         .join(uom, "product_part_number", "left")
-         .join(oy, ["product_part_number", "document_order_date"], "left")
-         .join(ot, ["product_part_number", "document_order_date"], "left")
+         .join(growing(demand), "product_part_number", "left")
+         .join(growing(uom), "product_part_number", "left")
+         .join(growing(oy), ["product_part_number", "document_order_date"], "left")
+         .join(growing(ot), ["product_part_number", "document_order_date"], "left")
          .join(ro, ["product_part_number", "vendor_number", "location_code"], "left"))
     change = F.col("_above_t") - F.col("_above_y")
     # Lead-time forecast and raw on-hand / on-order of both days

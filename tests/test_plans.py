@@ -89,3 +89,22 @@ def test_cluster_conf_runs_and_keeps_results(spark, con):
         for key in ("region_oos_rate", "recommend"):
             r = compare(E.queries()[key](spark, SF_SMALL), con, E.oracle_sql()[key])
             assert r["match"], (key, r)
+
+
+def _below(plan, node):
+    """The lines of the plan that stand below a line with ``node``."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    out, top = [], None
+    for line in plan.split("\n"):
+        if top is not None and depth(line) > top:
+            out.append(line)
+            continue
+        top = depth(line) if node in line else None
+    return out
+
+
+def test_item_tables_are_not_broadcast(spark):
+    """One row per item grows with the input, however small its files are."""
+    for key in ("compliance", "compliance_detail", "placed_orders"):
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+        assert "p_partkey" in plan and not [x for x in _below(plan, "BroadcastExchange") if "p_partkey" in x], key
