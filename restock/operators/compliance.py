@@ -84,7 +84,7 @@ def compliance_items(rollup: DataFrame, products: DataFrame, vendors: DataFrame)
     own = products.where(is_false_or_null(F.col("private_label_flag"))).select("product_part_number")
     v = vendors.where(is_false_or_null(F.col("direct_import_flag"))).select("vendor_number")
     return (rollup.select("product_part_number", "vendor_number").join(v, "vendor_number", "left_semi")
-            .join(own, "product_part_number", "left_semi").select("product_part_number").distinct())
+            .join(growing(own), "product_part_number", "left_semi").select("product_part_number").distinct())
 
 
 def compliance(rollup: DataFrame, products: DataFrame, vendors: DataFrame, demand: DataFrame,

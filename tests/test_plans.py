@@ -108,3 +108,9 @@ def test_item_tables_are_not_broadcast(spark):
     for key in ("compliance", "compliance_detail", "placed_orders"):
         plan = _plan(E.queries()[key](spark, SF_SMALL))
         assert "p_partkey" in plan and not [x for x in _below(plan, "BroadcastExchange") if "p_partkey" in x], key
+
+
+def test_report_item_tables_are_not_broadcast(spark):
+    for key in ("compliance_report", "trailing_performance"):
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+        assert "p_partkey" in plan and not [x for x in _below(plan, "BroadcastExchange") if "p_partkey" in x], key
