@@ -74,9 +74,10 @@ def network_demand(rollup: DataFrame, item_location: DataFrame, locations: DataF
     cil = (item_location.withColumn("_pfx", supplier_vendor(F.col("supplier")))
            .where(F.col("_pfx").isNotNull() & ~F.col("_pfx").isin("", "?"))
            .join(own, "_pfx", "left_anti"))
-    # the ordered items are few: keep theirs first, then aggregate
-    return (cil.join(items, "item", "left_semi").groupBy(F.col("item").alias("product_part_number"))
-            .agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty")))
+    # sums before the semi join: the join then sorts one row per item, not one per item and FC
+    demand = cil.groupBy("item").agg(F.round(F.sum("avedemqty"), 5).alias("network_avedemqty"))
+    return (demand.join(items, "item", "left_semi")
+            .select(F.col("item").alias("product_part_number"), "network_avedemqty"))
 
 
 def compliance_items(rollup: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:

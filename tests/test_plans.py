@@ -114,3 +114,10 @@ def test_report_item_tables_are_not_broadcast(spark):
     for key in ("compliance_report", "trailing_performance"):
         plan = _plan(E.queries()[key](spark, SF_SMALL))
         assert "p_partkey" in plan and not [x for x in _below(plan, "BroadcastExchange") if "p_partkey" in x], key
+
+
+def test_demand_is_summed_before_it_is_sorted(spark):
+    """The semi join of the ordered items sorts one row per item, not one per item and FC."""
+    for key in ("network_demand", "compliance"):
+        below = _below(_plan(E.queries()[key](spark, SF_SMALL)), "LeftSemi")
+        assert any("functions=[sum(avedemqty" in x for x in below), key
