@@ -10,8 +10,8 @@ SALTS = 1024
 
 def dimension(df: DataFrame) -> DataFrame:
     """Broadcast hint for a dimension of one row per fulfilment centre, region or
-    calendar day: its size is bounded by the business, not by the facts. All
-    other tables are left to Spark's byte threshold and to AQE."""
+    calendar day: its size is bounded by the business, not by the facts. Other
+    tables are left to Spark's byte threshold and to AQE, or see :func:`growing`."""
     return F.broadcast(df)
 
 
